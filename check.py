@@ -21,7 +21,8 @@ def main():
     names = sys.argv[2:] or list(queries())
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false").getOrCreate()
+        .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = tables(folder)

@@ -44,7 +44,7 @@ def d277_hh(t) -> DataFrame:
 
 def d277_half_hours(t) -> DataFrame:
     rows = d277.complete_rows(d277.add_sector(d277.parse(t.raw_d277)))
-    return d277.half_hours(rows, t.tlm_rows, t.raw_gcf, t.raw_pc, t.raw_llf, holidays(t))
+    return d277.half_hours(d277.annual_sums(rows), t.tlm_rows, t.raw_gcf, t.raw_pc, t.raw_llf, holidays(t))
 
 
 def big_demand(t) -> DataFrame:

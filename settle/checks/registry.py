@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from settle.checks.views import VIEWS
-from settle.session import configure
+from settle.session import configure, fresh_path
 
 TABLES = ["lineitem", "orders", "supplier", "nation"]
 
@@ -24,18 +24,33 @@ STEPS: dict[str, str] = dict(VIEWS)
 NUDGE = 1.23456789e-9
 
 
+# (folder of tables, view) -> path of the view saved as a table.
+_LANDED: dict[tuple[str, str], str] = {}
+
+
 class Inputs:
-    """The views over one set of tables, as DataFrames."""
+    """The views over one folder of tables, each saved once as a parquet table.
+
+    Flows start from stored report and factor tables, so the views are stored
+    too. A given table may be a single file block; its rows are spread evenly.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
+        self.folder = folder
         for table in TABLES:
             spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(table)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:
             raise AttributeError(name)
-        return self.spark.sql(with_steps(f"SELECT * FROM {name}"))
+        key = (self.folder, name)
+        if key not in _LANDED:
+            made = self.spark.sql(with_steps(f"SELECT * FROM {name}"))
+            path = fresh_path(self.spark, name)
+            made.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
+            _LANDED[key] = path
+        return self.spark.read.parquet(_LANDED[key])
 
 
 def with_steps(select: str) -> str:

@@ -43,7 +43,8 @@ def join_factor(df: DataFrame, factor: DataFrame, how="left", date="date") -> Da
 
 def by_period(value: str) -> Column:
     """Values of a day as an array with one place for each period."""
-    return F.array(*[F.max(F.when(F.col("settlement_period") == p, F.col(value))) for p in range(1, PERIODS + 1)])
+    places = [f"max(if(settlement_period = {p}, {value}, null))" for p in range(1, PERIODS + 1)]
+    return F.expr(f"array({', '.join(places)})")
 
 
 def day_factors(tlm: DataFrame, gcf: DataFrame) -> DataFrame:
@@ -70,6 +71,12 @@ def day_profiles(pc: DataFrame) -> DataFrame:
     )
 
 
+def period_shares(df: DataFrame) -> DataFrame:
+    """Shares and factors of a day as one array of (pc, factor), one place a period."""
+    pairs = F.arrays_zip(F.col("shares").alias("pc"), F.col("factors").alias("factor"))
+    return df.withColumn("periods", pairs).drop("shares", "factors")
+
+
 def unpivot_profiles(pc: DataFrame) -> DataFrame:
     """One row for each period of a wide coefficient row, nulls included."""
     ids = [c for c in pc.columns if c.lower() not in PERIOD_COLUMNS]
@@ -115,18 +122,26 @@ def join_loss_bands(df: DataFrame, bands: DataFrame) -> DataFrame:
 
 
 def expand_periods(df: DataFrame) -> DataFrame:
-    """Half-hourly rows of the periods of a band that have share and factor."""
-    last = F.least(F.col("last_period"), F.lit(PERIODS))
+    """Half-hourly rows of the periods of a band that have share and factor.
+
+    The band cuts its part out of the day before the day is spread, so that
+    half-hourly rows carry two numbers and not the arrays.
+    """
     first = F.greatest(F.col("first_period"), F.lit(1))
-    period = F.explode(F.sequence(first, last)).alias("settlement_period")
-    # A band that ends before it starts has no periods; sequence would count down.
+    last = F.least(F.col("last_period"), F.lit(PERIODS))
+    part = F.slice("periods", first, F.greatest(last - first + 1, F.lit(0)))
+    spread = df.where(F.col("llf").isNotNull()).select(
+        *[c for c in df.columns if c != "periods"],
+        F.posexplode(part).alias("_place", "_period"),
+    )
     return (
-        df.where(first <= last)
-        .select("*", period)
-        .withColumn("pc", F.get("shares", F.col("settlement_period") - 1))
-        .withColumn("factor", F.get("factors", F.col("settlement_period") - 1))
-        .where(F.col("pc").isNotNull() & F.col("factor").isNotNull() & F.col("llf").isNotNull())
-        .drop("shares", "factors", "first_period", "last_period")
+        spread.where(F.col("_period.pc").isNotNull() & F.col("_period.factor").isNotNull())
+        .withColumns({
+            "settlement_period": F.col("_place") + first,
+            "pc": F.col("_period.pc"),
+            "factor": F.col("_period.factor"),
+        })
+        .drop("_place", "_period", "first_period", "last_period")
     )
 
 

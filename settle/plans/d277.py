@@ -22,11 +22,18 @@ MEASURES = list("fghijklm")
 # Profile rows carry two arrays of 50 numbers, about 1 kB a row.
 PROFILE_BROADCAST_ROWS = 100_000
 
-KEYS = [
-    "date", "file_date", "settlement_run", "settlement_period", "peak",
-    "gsp_area", "profile_class", "sector",
+REPORT_KEYS = [
+    "date", "file_date", "settlement_run", "gsp_area", "profile_class",
+    "configuration", "regime", "loss_class", "distributor",
 ]
 
+TOTAL_KEYS = [
+    "date", "file_date", "settlement_run", "settlement_period", "gsp_area", "profile_class",
+]
+
+# Peak follows from the period and sector from the class, so they are no keys.
+KEYS = TOTAL_KEYS + ["peak", "sector"]
+
 # Quality -> source of volumes and of the meter count.
 QUALITIES = {"Estimate": ("estimate", "estimate_meters"), "Actual": ("advance", "advance_meters")}
 
@@ -55,10 +62,19 @@ def complete_rows(df: DataFrame) -> DataFrame:
     return df.where(all_present(*df.columns)).dropDuplicates()
 
 
+def annual_sums(rows: DataFrame) -> DataFrame:
+    """Measures summed over rows that share all factors.
+
+    Normally a row stands alone here; where many rows share the keys, they are
+    put together before each grows into 50 periods.
+    """
+    return rows.groupBy(*REPORT_KEYS).agg(*measures.sums(*"fghijk"))
+
+
 def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame, calendar: DataFrame) -> DataFrame:
     """Profile shares and correction factors of a day, with its day type."""
     days = add_day_type(factors.day_factors(tlm, gcf), calendar, "date", "day_type")
-    return factors.day_profiles(pc).join(days, ["date", "gsp_area"])
+    return factors.period_shares(factors.day_profiles(pc).join(days, ["date", "gsp_area"]))
 
 
 def half_hours(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
@@ -76,18 +92,19 @@ def profile_totals(df: DataFrame) -> DataFrame:
     """
     shaped = measures.profile_volumes(
         df, {"estimate": F.col("f") + F.col("j"), "advance": "h"}
-    ).withColumn("peak", peak("settlement_period"))
+    )
     volumes = [
         f"{prefix}{name}{part}_gwh"
         for name in ("estimate", "advance")
         for prefix in ("", "corrected_")
         for part in ("", "_loss")
     ]
-    return shaped.groupBy(*KEYS).agg(
+    totals = shaped.groupBy(*TOTAL_KEYS).agg(
         *measures.sums(*volumes),
         F.sum(F.col("g") + F.col("k")).alias("estimate_meters"),
         F.sum("i").alias("advance_meters"),
     )
+    return add_sector(totals).withColumn("peak", peak("settlement_period"))
 
 
 def split_quality(df: DataFrame) -> DataFrame:
@@ -111,9 +128,8 @@ def demand_all_runs(raw, tlm, gcf, pc, llf, calendar) -> DataFrame:
     rows = parse(raw)
     # Incomplete rows take part in the choice of the run.
     best = runs.latest_rank(rows, runs.DAY, run_rank("settlement_run"))
-    spread = half_hours(
-        complete_rows(add_sector(rows)).drop("l", "m"), tlm, gcf, pc, llf, calendar
-    )
+    annual = annual_sums(complete_rows(add_sector(rows)))
+    spread = half_hours(annual, tlm, gcf, pc, llf, calendar)
     split = split_quality(profile_totals(spread))
     flagged = runs.flag_last_run(
         split.where(F.col("uncorrected_consumption_gwh") != 0),
