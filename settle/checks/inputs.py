@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from settle.functions.calendar import add_day_type
 from settle.operators.runs import last_version
-from settle.plans import c042, d276, d277, embedded, gross, levies, s014, units
+from settle.plans import c042, d276, d277, gross, s014, units
 from settle.session import fresh_path, stage
 from settle.sources.holidays import working_calendar
 
@@ -93,8 +92,3 @@ def land_csv(df: DataFrame, name: str, header: bool = True) -> str:
     path = fresh_path(df.sparkSession, name)
     df.write.option("header", header).csv(f"{path}/landed")
     return path
-
-
-__all__ = [
-    "add_day_type", "c042", "d276", "d277", "embedded", "gross", "levies", "s014", "units",
-]

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from settle.checks import inputs
 from settle.checks.registry import query
-from settle.checks.steps import NOT_EXPORT, NOT_IMPORT, last_run, run_rank
+from settle.checks.steps import last_run, run_rank
 from settle.functions import calendar, flags
-from settle.operators import factors, measures, ranges, runs
+from settle.operators import factors, ranges, runs
 from settle.plans import c042, d276, d277, embedded, levies, s014, units
 from settle.session import bounded
 from settle.sources.codes import IMPORT_CLASSES, IMPORT_RUNS
@@ -111,7 +111,7 @@ def join_ccc_class(t):
 )
 def join_calendar(t):
     start = F.lit("2020-03-25").cast("date")
-    orders = t.spark.table("orders").select(
+    orders = t.table("orders").select(
         "o_orderkey", F.date_add(start, (F.col("o_orderkey") % 21).cast("int")).alias("date")
     )
     days = inputs.holidays(t).withColumnRenamed("holiday_date", "date")
@@ -173,7 +173,7 @@ CHOSEN = (
 
 def chosen(t):
     _, profiled, demand = inputs.scheme_inputs(t)
-    return levies.chosen_runs(levies.later_rows(profiled, demand))
+    return levies.chosen_runs(levies.eligible_runs(levies.later_rows(profiled, demand)))
 
 
 @query("join_flag_back", CHOSEN, "SELECT * FROM scheme_chosen")
@@ -288,5 +288,3 @@ def unpivot_pc(t):
 def classify_embedded(t):
     return embedded.add_classifications(embedded.unit_exports(inputs.s014_last(t)))
 
-
-assert NOT_IMPORT and NOT_EXPORT and measures

@@ -5,12 +5,14 @@ from pyspark.sql import functions as F
 from settle.checks import inputs
 from settle.checks.registry import query
 from settle.checks.steps import (
-    ATTRIBUTES, FIN_YEAR, NOT_EXPORT, NOT_IMPORT, flag, notify, number, peak,
+    ATTRIBUTES, FIN_YEAR, NOT_EXPORT, NOT_IMPORT, flag, notify, peak,
 )
 from settle.functions import calendar, flags, text
-from settle.operators import measures, ranges
-from settle.plans import c042, d276, d277, embedded, levies, s014, units
+from settle.operators import factors, measures, ranges
+from settle.plans import c042, d276, d277, s014, units
+from settle.session import bounded
 from settle.sources.codes import IMPORT_RUNS
+from settle.sources.xml import parse_unit_xml
 
 D276_ROW = "date:d file_date:d settlement_run gsp_area ccc settlement_period a:f h:f m:f c:f meters_count"
 
@@ -77,14 +79,8 @@ VOLUME_SPEC = " ".join(f"{c}:f" for c in measures.VOLUMES)
 )
 def proj_scale(t):
     rows = d276.parse(t.raw_d276).where(d276.is_import() & F.col("settlement_run").isin(IMPORT_RUNS))
-    joined = inputs_join_tlm(rows.dropDuplicates(), t)
-    return measures.import_volumes(joined)
-
-
-def inputs_join_tlm(rows, t):
-    from settle.operators import factors
-
-    return factors.join_factor(rows, factors.loss_multipliers(t.tlm_rows))
+    side = bounded(factors.loss_multipliers(t.tlm_rows))
+    return measures.import_volumes(factors.join_factor(rows.dropDuplicates(), side))
 
 
 @query(
@@ -141,9 +137,9 @@ def filter_runs(t):
     " UNION ALL SELECT l_orderkey, DATE '2014-12-20' + CAST(l_linenumber * 4 AS INT) FROM lineitem WHERE l_linenumber >= 3",
 )
 def filter_floor_date(t):
-    orders = t.spark.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+    orders = t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
     near = F.date_add(F.lit("2014-12-20").cast("date"), F.col("l_linenumber") * 4)
-    lines = t.spark.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), near.alias("date"))
+    lines = t.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), near.alias("date"))
     return ranges.from_floor(orders.unionByName(lines), "date")
 
 
@@ -211,8 +207,8 @@ def filter_nonzero(t):
       AND (SELECT least(max(CAST(l_shipdate AS DATE)), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) FROM lineitem WHERE l_linenumber > 2)""",
 )
 def filter_date_overlap(t):
-    orders = t.spark.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
-    lines = t.spark.table("lineitem").where("l_linenumber > 2").select(F.col("l_shipdate").cast("date").alias("date"))
+    orders = t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+    lines = t.table("lineitem").where("l_linenumber > 2").select(F.col("l_shipdate").cast("date").alias("date"))
     shared = ranges.overlap(ranges.bounds(orders, "date"), ranges.bounds(lines, "date"))
     return ranges.clip(orders, "date", shared)
 
@@ -226,8 +222,6 @@ def filter_not_na_code(t):
 
 
 def unit_means(t):
-    from settle.sources.xml import parse_unit_xml
-
     return units.capacity_means(parse_unit_xml(t.raw_unit_xml))
 
 
@@ -275,7 +269,7 @@ def flag_estimate(t):
 
 
 def order_dates(t):
-    return t.spark.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+    return t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
 
 
 ORDER_DATES = "(SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders) AS o"
@@ -325,7 +319,7 @@ def flag_fytd(t):
 )
 def flag_scheme_eligible(t):
     runs = F.array(*[F.lit(r) for r in ("II", "SF", "R1", "R2", "R3", "RF", "DF")])
-    rows = t.spark.table("lineitem").select(
+    rows = t.table("lineitem").select(
         "l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("date"),
         F.element_at(runs, F.col("l_linenumber")).alias("settlement_run"),
     )
@@ -342,7 +336,7 @@ def flag_scheme_eligible(t):
 )
 def clamp_missing(t):
     known = F.when(F.col("l_tax") > 0, 25.0)
-    return t.spark.table("lineitem").withColumn("missing", flags.missing_volume(F.col("l_quantity"), known))
+    return t.table("lineitem").withColumn("missing", flags.missing_volume(F.col("l_quantity"), known))
 
 
 UNIT_FLAGS = "bmu_id effective_from_date:d embedded_cva directcon_cva intercons sva_only"
@@ -402,11 +396,9 @@ def period_start(t):
       CASE WHEN s_nationkey < 12 THEN CAST(s_nationkey AS DOUBLE) END AS b FROM supplier) AS r""",
 )
 def row_mean(t):
-    rows = t.spark.table("supplier").select(
+    rows = t.table("supplier").select(
         "s_suppkey", F.when(F.col("s_nationkey") > 5, F.col("s_acctbal")).alias("a"),
         F.when(F.col("s_nationkey") < 12, F.col("s_nationkey").cast("double")).alias("b"),
     )
     return rows.withColumn("mean", flags.row_mean("a", "b"))
 
-
-assert number and embedded and levies

@@ -5,14 +5,13 @@ from pyspark.sql import functions as F
 from settle.checks import inputs
 from settle.checks.registry import query
 from settle.checks.steps import run_rank
-from settle.functions.flags import lookup
 from settle.functions.flags import run_rank as rank_column
 from settle.operators import factors
-from settle.plans import d276, d277
+from settle.plans import d276, d277, units
 from settle.schemas import LLF_FILE, PERIOD_COLUMNS
 from settle.session import fresh_path
 from settle.sources import files, holidays, names, tables, xml
-from settle.sources.codes import BM_UNIT_COLUMNS, IMPORT_CLASSES, PROFILE_SECTOR, UNIT_CATEGORY
+from settle.sources.codes import BM_UNIT_COLUMNS, IMPORT_CLASSES
 
 DAY_FIRST = "dd/MM/yyyy"
 
@@ -108,9 +107,9 @@ def load_pc(t):
     "SELECT *, 28 AS n_columns FROM raw_bm_units",
 )
 def load_bm_units(t):
-    units = t.raw_bm_units
-    known = {c: F.col(c) if c in units.columns else F.lit("-") for c in BM_UNIT_COLUMNS}
-    path = inputs.land_csv(units.select(*[v.alias(c) for c, v in known.items()]), "bmunits", False)
+    listed = t.raw_bm_units
+    known = {c: F.col(c) if c in listed.columns else F.lit("-") for c in BM_UNIT_COLUMNS}
+    path = inputs.land_csv(listed.select(*[v.alias(c) for c, v in known.items()]), "bmunits", False)
     # Preamble and header as in the published file.
     heading = ",".join(c.replace("_", " ").title().replace("Bm Unit Id", "BM Unit ID") for c in BM_UNIT_COLUMNS)
     lines = ["Registered units", "Created for settlement", heading]
@@ -215,11 +214,9 @@ def join_sector(t):
     "SELECT enapp_class, enapp_category, count(*) AS n FROM s014_all GROUP BY ALL",
 )
 def join_unit_category(t):
-    current = inputs.units.current_units(inputs.unit_dim(t), "enapp_class")
-    rows = inputs.units.join_categories(
-        t.raw_s014.select("bmunitid"), inputs.units.unit_categories(current)
+    current = units.current_units(inputs.unit_dim(t), "enapp_class")
+    rows = units.join_categories(
+        t.raw_s014.select("bmunitid"), units.unit_categories(current)
     )
     return rows.groupBy("enapp_class", "enapp_category").agg(F.count("*").alias("n"))
 
-
-assert len(PROFILE_SECTOR) == 8 and lookup and len(UNIT_CATEGORY) == 62

@@ -3,12 +3,12 @@
 from pyspark.sql import functions as F
 
 from settle.checks import inputs
-from settle.checks.q_joins import SOURCE_SPEC, means
+from settle.checks.q_joins import means
 from settle.checks.q_rows import MEANS
 from settle.checks.registry import query
-from settle.functions.flags import all_present
 from settle.operators import measures, ranges
-from settle.plans import c042, d276, d277, embedded, gross, levies, units
+from settle.plans import c042, d276, d277, embedded, gross, levies
+from settle.sources.xml import parse_unit_xml
 
 VOLUME_SPEC = " ".join(f"{c}:f" for c in measures.VOLUMES)
 DAY_SPEC = (
@@ -130,7 +130,7 @@ def agg_capacity_mean(t):
     UNION ALL SELECT 'd276', min(date), max(date) FROM d276_parsed""",
 )
 def agg_bounds(t):
-    orders = t.spark.table("orders").select(F.col("o_orderdate").cast("date").alias("date"))
+    orders = t.table("orders").select(F.col("o_orderdate").cast("date").alias("date"))
     sides = {"orders": orders, "d276": d276.parse(t.raw_d276)}
     first, second = [
         ranges.bounds(df, "date").withColumn("source", F.lit(name)) for name, df in sides.items()
@@ -193,7 +193,7 @@ def union_positional(t):
 
 @query("union_ro_fit", f"{SCHEME_SPEC} last_run_ro last_run_fit", "SELECT * FROM ro_fit_rows")
 def union_ro_fit(t):
-    return levies.ro_fit_rows(*inputs.scheme_inputs(t))
+    return levies.scheme_union(*levies.scheme_sides(*inputs.scheme_inputs(t)))
 
 
 @query("union_embedded", CLASS_SPEC, "SELECT * FROM embedded_rows")
@@ -218,11 +218,7 @@ def union_quality(t):
     """SELECT source, type_code, count(DISTINCT bmu_id) AS units, count(*) AS periods FROM unit_periods GROUP BY ALL""",
 )
 def union_units(t):
-    from settle.sources.xml import parse_unit_xml
-
     return parse_unit_xml(t.raw_unit_xml).groupBy("source", "type_code").agg(
         F.countDistinct("bmu_id").alias("units"), F.count("*").alias("periods")
     )
 
-
-assert SOURCE_SPEC and all_present and units

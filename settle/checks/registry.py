@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from settle.checks.views import VIEWS
 from settle.session import configure, fresh_path
@@ -24,8 +25,8 @@ STEPS: dict[str, str] = dict(VIEWS)
 NUDGE = 1.23456789e-9
 
 
-# (folder of tables, view) -> path of the view saved as a table.
-_LANDED: dict[tuple[str, str], str] = {}
+# (folder of tables, view) -> path and schema of the view saved as a table.
+_LANDED: dict[tuple[str, str], tuple[str, StructType]] = {}
 
 
 class Inputs:
@@ -38,19 +39,27 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
         self.folder = folder
-        for table in TABLES:
-            spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(table)
+
+    def table(self, name: str) -> DataFrame:
+        """One of the given tables."""
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:
             raise AttributeError(name)
         key = (self.folder, name)
         if key not in _LANDED:
-            made = self.spark.sql(with_steps(f"SELECT * FROM {name}"))
-            path = fresh_path(self.spark, name)
-            made.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
-            _LANDED[key] = path
-        return self.spark.read.parquet(_LANDED[key])
+            _LANDED[key] = self._land(name)
+        path, schema = _LANDED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _land(self, name: str) -> tuple[str, StructType]:
+        for table in TABLES:
+            self.table(table).createOrReplaceTempView(table)
+        made = self.spark.sql(with_steps(f"SELECT * FROM {name}"))
+        path = fresh_path(self.spark, name)
+        made.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
+        return path, made.schema
 
 
 def with_steps(select: str) -> str:

@@ -18,7 +18,7 @@ RUN = (
     " WHEN 5 THEN 'R3' WHEN 6 THEN 'RF' ELSE 'DF' END"
 )
 AREA = "'_' || substr('ABCDEFGHJKLMNP', CAST({z} AS INT) + 1, 1)"
-PERIOD = "(l_orderkey * 7 + l_partkey) % 48 + 1"
+PERIOD = "CAST((l_orderkey * 7 + l_partkey) % 48 + 1 AS INT)"
 UNIT = "substr('T_E_M_2_C_I_V_', CAST({k} % 7 AS INT) * 2 + 1, 2) || 'BMU' || CAST({k} AS STRING)"
 
 _date = DAY.format(key="l_orderkey")
@@ -55,7 +55,7 @@ VIEWS = {
     "readings": READINGS,
     "raw_d276": f"""
 SELECT {_zpd} AS zpd, {_filed} || '_P0276' AS pool, {RUN} AS hdr, {_area} AS gsp,
-  l_partkey % 66 + 1 AS ccc, {PERIOD} AS spx,
+  CAST(l_partkey % 66 + 1 AS INT) AS ccc, {PERIOD} AS spx,
   CAST(l_extendedprice AS STRING) AS a, CAST(l_quantity AS STRING) AS h,
   CASE WHEN l_tax = 0.08 AND l_discount = 0 THEN NULL ELSE CAST(l_extendedprice AS STRING) END AS m,
   CAST(l_quantity AS STRING) AS c, CAST(l_quantity AS INT) AS ai

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from settle.session import once
+
 # Days by which a date is moved so that 1 April falls on day 1 of a year.
 FINANCIAL_SHIFT = 90
 
@@ -49,9 +51,13 @@ def cap_mech(date: str, day_type: str) -> Column:
     return F.when(test, 1).otherwise(0)
 
 
-def add_to_date_flags(df: DataFrame, date: str = "date") -> DataFrame:
-    """`ytd` and `fytd`: not later in the (financial) year than the latest date."""
-    latest = df.agg(F.max(date).alias("latest")).scalar()
+def add_to_date_flags(df: DataFrame, date: str = "date", dates: DataFrame | None = None) -> DataFrame:
+    """`ytd` and `fytd`: not later in the (financial) year than the latest date.
+
+    `dates` may give the same dates from a cheaper plan than that of `df`.
+    """
+    source = df if dates is None else dates
+    latest = once(source.agg(F.max(date).alias("latest"))).scalar()
     moved = F.date_sub(F.col(date), FINANCIAL_SHIFT)
     last_moved = F.date_sub(latest, FINANCIAL_SHIFT)
     return df.withColumns({

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from settle.session import once
+
 FLOOR = "2015-01-01"
 
 
@@ -20,14 +22,18 @@ def bounds(df: DataFrame, date: str) -> DataFrame:
 
 
 def overlap(*ranges: DataFrame) -> DataFrame:
-    """One row: latest of the first dates, earliest of the last dates."""
+    """One row: latest of the first dates, earliest of the last dates.
+
+    Computed once, so that a range which depends on another does not carry the
+    plan of that one along each time it is used.
+    """
     every = reduce(DataFrame.unionByName, ranges)
     # A side without rows has no dates, so nothing overlaps with it.
     bare = F.count_if(F.col("min_date").isNull()) > 0
-    return every.agg(
+    return once(every.agg(
         F.when(~bare, F.max("min_date")).alias("min_date"),
         F.when(~bare, F.min("max_date")).alias("max_date"),
-    )
+    ))
 
 
 def limit_columns(limits: DataFrame) -> tuple[Column, Column]:

@@ -40,12 +40,12 @@ def parse(raw: DataFrame) -> DataFrame:
 
 
 def is_import() -> Column:
-    """Class is not an export or an unmetered class; no class at all passes."""
-    return ~F.coalesce(in_ranges("ccc", NON_IMPORT_CCC), F.lit(False))
+    """Class is not an export or non-half-hourly class; no class at all passes."""
+    return F.col("ccc").isNull() | ~in_ranges("ccc", NON_IMPORT_CCC)
 
 
 def is_export() -> Column:
-    return ~F.coalesce(in_ranges("ccc", NON_EXPORT_CCC), F.lit(False))
+    return F.col("ccc").isNull() | ~in_ranges("ccc", NON_EXPORT_CCC)
 
 
 def add_class(df: DataFrame, classes: dict) -> DataFrame:

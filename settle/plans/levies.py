@@ -18,7 +18,7 @@ SCHEME_COLUMNS = [
 ]
 
 
-def add_calendar(df: DataFrame) -> DataFrame:
+def add_calendar(df: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Financial year, month, year and to-date flags; dates become timestamps."""
     parts = {
         "fy": calendar.fin_year("date"),
@@ -26,7 +26,7 @@ def add_calendar(df: DataFrame) -> DataFrame:
         "month": F.month("date"),
         "year": F.year("date"),
     }
-    flagged = calendar.add_to_date_flags(df.withColumns(parts))
+    flagged = calendar.add_to_date_flags(df.withColumns(parts), dates=dates)
     return flagged.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
@@ -40,19 +40,22 @@ def scheme_rows(df: DataFrame, run_codes: list[str]) -> DataFrame:
     return df.where(F.col("settlement_run").isin(run_codes)).select(*SCHEME_COLUMNS)
 
 
-def chosen_runs(rows: DataFrame) -> DataFrame:
-    """Rows of the last eligible run of either scheme, flagged by scheme.
-
-    Input rows are totals: one for each key, run and file.
-    """
+def eligible_runs(rows: DataFrame) -> DataFrame:
+    """Rows that may feed either scheme, with their rank where they may."""
     rank = scheme_rank("settlement_run")
     open_to = {
         "_ro": F.when(ro_eligible("date", rank), rank),
         "_fit": F.when(fit_eligible("date", rank), rank),
     }
-    eligible = rows.withColumns(open_to).where(
-        (F.col("_ro").isNotNull() | F.col("_fit").isNotNull()) & all_present(*runs.SCHEME)
-    )
+    either = F.col("_ro").isNotNull() | F.col("_fit").isNotNull()
+    return rows.withColumns(open_to).where(either & all_present(*runs.SCHEME))
+
+
+def chosen_runs(eligible: DataFrame) -> DataFrame:
+    """Rows of the last eligible run of either scheme, flagged by scheme.
+
+    Rows are totals: one for each key, run and file.
+    """
     ranks = {"last_run_ro": F.col("_ro"), "last_run_fit": F.col("_fit")}
     flagged = runs.flag_last_run_of_totals(eligible, runs.SCHEME, ranks)
     return flagged.where("last_run_ro OR last_run_fit").drop("_ro", "_fit")
@@ -66,17 +69,26 @@ def later_rows(profiled: DataFrame, demand: DataFrame) -> DataFrame:
     return first.unionByName(second)
 
 
-def ro_fit_rows(half_hourly: DataFrame, profiled: DataFrame, demand: DataFrame) -> DataFrame:
-    """Half-hourly SF rows and the chosen runs of the rest, on shared dates."""
-    fixed = scheme_rows(half_hourly, ["SF"]).withColumns(
-        {"last_run_ro": F.lit(True), "last_run_fit": F.lit(True)}
-    )
+def scheme_sides(half_hourly, profiled, demand) -> tuple[DataFrame, DataFrame]:
+    """Half-hourly SF rows, and eligible rows of the rest, on shared dates."""
+    fixed = scheme_rows(half_hourly, ["SF"])
     later = later_rows(profiled, demand)
     shared = ranges.overlap(ranges.bounds(fixed, "date"), ranges.bounds(later, "date"))
-    chosen = chosen_runs(ranges.clip(later, "date", shared))
-    return ranges.clip(fixed, "date", shared).unionByName(chosen)
+    return ranges.clip(fixed, "date", shared), eligible_runs(ranges.clip(later, "date", shared))
+
+
+def scheme_union(fixed: DataFrame, eligible: DataFrame) -> DataFrame:
+    """SF rows count for both schemes; of the rest, the chosen runs."""
+    flags = {"last_run_ro": F.lit(True), "last_run_fit": F.lit(True)}
+    return fixed.withColumns(flags).unionByName(chosen_runs(eligible))
 
 
 def ro_fit(half_hourly: DataFrame, profiled: DataFrame, demand: DataFrame) -> DataFrame:
-    """Volumes for the renewables obligation and the feed-in tariff."""
-    return add_calendar(ro_fit_rows(half_hourly, profiled, demand))
+    """Volumes for the renewables obligation and the feed-in tariff.
+
+    Every date with an eligible row has a chosen one, so the latest date is
+    found without choosing runs.
+    """
+    fixed, eligible = scheme_sides(half_hourly, profiled, demand)
+    dates = fixed.select("date").unionByName(eligible.select("date"))
+    return add_calendar(scheme_union(fixed, eligible), dates)

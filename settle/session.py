@@ -9,8 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side, in rows, that is sent whole to every executor. The sides
-# offered are narrow (under about 500 bytes a row), so this stays under 250 MB.
+# Largest side, in rows of up to 500 bytes, that is sent whole to every executor:
+# 250 MB. A session may set `settle.broadcastRows` to another number.
 BROADCAST_ROWS = 500_000
 
 SETTINGS = {
@@ -54,13 +54,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def once(df: DataFrame) -> DataFrame:
+    """Compute a small result once into the checkpoint folder and cut its lineage."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def bounded(df: DataFrame, width: int = 1) -> DataFrame:
     """Offer a join side for broadcast if, once counted, it is small.
 
     The side is computed once into the checkpoint folder and counted there. A
     larger side is returned without a hint: the join then shuffles both sides
-    and adaptive execution splits hot keys.
+    and adaptive execution splits hot keys. `width` is the row size in units of
+    500 bytes.
     """
-    shared_folder(df.sparkSession)
-    kept = df.checkpoint()
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    limit = int(df.sparkSession.conf.get("settle.broadcastRows", str(BROADCAST_ROWS)))
+    kept = once(df)
+    return F.broadcast(kept) if kept.count() * width <= limit else kept
