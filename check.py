@@ -3,58 +3,55 @@
 import sys
 import time
 
-import duckdb
 from pyspark.sql import SparkSession
 
-from __spark_entry__ import oracle_sql, queries
+from settle.checks.all_queries import QUERIES
+from settle.checks.compare import connect, oracle_rows, spark_rows
 
 
-def tables(folder):
-    con = duckdb.connect()
-    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
-    return con
+def session() -> SparkSession:
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "12g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def show_difference(got, want):
+    for label, part in (("missing", set(want) - set(got)), ("extra", set(got) - set(want))):
+        for row in sorted(part)[:3]:
+            print("   ", label, row)
 
 
 def main():
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(queries())
-    spark = (
-        SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.driver.memory", "12g").config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    con = tables(folder)
+    names = sys.argv[2:] or list(QUERIES)
+    spark, con = session(), connect(folder)
     bad = 0
     for name in names:
         start = time.time()
         try:
-            df = queries()[name](spark, folder)
-            columns = sorted(df.columns)
-            got = sorted(map(repr, (tuple(r) for r in df.select(*[f"`{c}`" for c in columns]).collect())))
+            columns, got = spark_rows(spark, folder, name)
             spent = time.time() - start
-            start = time.time()
-            rel = con.sql(oracle_sql()[name])
-            assert sorted(rel.columns) == columns, (rel.columns, columns)
-            quoted = ", ".join(f'"{c}"' for c in columns)
-            want = sorted(map(repr, con.sql(f"SELECT {quoted} FROM ({oracle_sql()[name]})").fetchall()))
-            other = time.time() - start
+            expected, want = oracle_rows(con, name)
         except Exception as error:  # report and go on
             bad += 1
-            print(f"FAIL  {name}: {str(error)[:1500]}", flush=True)
+            print(f"FAIL {name}: {str(error)[:1500]}", flush=True)
             continue
-        same = got == want
+        same = got == want and columns == expected
         bad += not same
-        print(f"{'ok   ' if same else 'DIFF '} {name} rows {len(got)}/{len(want)} spark {spent:.1f}s duckdb {other:.1f}s", flush=True)
+        print(f"{'ok  ' if same else 'DIFF'} {name} {len(got)}/{len(want)} rows {spent:.1f} s", flush=True)
         if not same:
-            lost, extra = set(want) - set(got), set(got) - set(want)
-            for label, part in (("want", lost), ("got ", extra)):
-                for row in sorted(part)[:3]:
-                    print("   ", label, row)
-            print("    columns", columns)
+            print("    columns", columns, expected)
+            show_difference(got, want)
     print(f"{len(names)} queries, {bad} bad")
+    return bad
 
 
 if __name__ == "__main__":
-    main()
+    sys.exit(1 if main() else 0)

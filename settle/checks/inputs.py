@@ -38,7 +38,9 @@ def d277_all(t) -> DataFrame:
 
 
 def d277_hh(t) -> DataFrame:
-    return d276.last_run(d277_all(t))
+    return d277.demand_last_run(
+        t.raw_d277, t.tlm_rows, t.raw_gcf, t.raw_pc, t.raw_llf, holidays(t)
+    )
 
 
 def d277_half_hours(t) -> DataFrame:

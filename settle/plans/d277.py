@@ -123,30 +123,45 @@ def split_quality(df: DataFrame) -> DataFrame:
     return df.select(*KEYS, F.inline(F.array(*sides)))
 
 
-def demand_all_runs(raw, tlm, gcf, pc, llf, calendar) -> DataFrame:
-    """Profiled demand of every run in GWh, with a flag on the latest run of the day."""
-    rows = parse(raw)
-    # Incomplete rows take part in the choice of the run.
-    best = runs.latest_rank(rows, runs.DAY, run_rank("settlement_run"))
-    annual = annual_sums(complete_rows(add_sector(rows)))
-    spread = half_hours(annual, tlm, gcf, pc, llf, calendar)
-    split = split_quality(profile_totals(spread))
-    flagged = runs.flag_last_run(
-        split.where(F.col("uncorrected_consumption_gwh") != 0),
-        best, runs.DAY, run_rank("settlement_run"),
-    )
+def in_area_shape(df: DataFrame) -> DataFrame:
+    """Columns of the area tables; rows without consumption are left out."""
     total = F.col("corrected_consumption_gwh") + F.col("corrected_line_loss_gwh")
     plain = F.col("uncorrected_consumption_gwh") + F.col("uncorrected_line_loss_gwh")
-    return flagged.select(
+    return df.where(F.col("uncorrected_consumption_gwh") != 0).select(
         "date", "file_date", "settlement_run", "gsp_area", "settlement_period",
         F.lit("N").alias("aggregation_type"),
         F.col("profile_class").cast("string").alias("description"),
         "sector",
         F.substring("data_quality", 1, 1).alias("actual_estimate"),
-        "peak", "last_run_flag",
+        "peak",
         "uncorrected_consumption_gwh", "uncorrected_line_loss_gwh",
         "corrected_consumption_gwh", "corrected_line_loss_gwh",
         total.alias("total_corrected_consumption_gwh"),
         plain.alias("total_uncorrected_consumption_gwh"),
         "meters_count",
     )
+
+
+def demand(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
+    """Profiled demand in GWh of parsed report rows."""
+    annual = annual_sums(complete_rows(add_sector(rows)))
+    spread = half_hours(annual, tlm, gcf, pc, llf, calendar)
+    return in_area_shape(split_quality(profile_totals(spread)))
+
+
+def demand_all_runs(raw, tlm, gcf, pc, llf, calendar) -> DataFrame:
+    """Profiled demand of every run, with a flag on the latest run of the day."""
+    rows = parse(raw)
+    rank = run_rank("settlement_run")
+    # Incomplete rows take part in the choice of the run.
+    best = runs.latest_rank(rows, runs.DAY, rank)
+    return runs.flag_last_run(demand(rows, tlm, gcf, pc, llf, calendar), best, runs.DAY, rank)
+
+
+def demand_last_run(raw, tlm, gcf, pc, llf, calendar) -> DataFrame:
+    """As `last_run` of all runs, but other runs are not spread to half hours."""
+    rows = parse(raw)
+    rank = run_rank("settlement_run")
+    best = bounded(runs.latest_rank(rows, runs.DAY, rank))
+    kept = runs.keep_last_run(rows, best, runs.DAY, rank)
+    return demand(kept, tlm, gcf, pc, llf, calendar).drop("file_date")
