@@ -13,9 +13,8 @@ from pyspark.sql import SparkSession
 
 from settle.checks import inputs
 from settle.checks.registry import Inputs
-from settle.plans import c042, gross, levies, s014
 from settle.operators import measures
-from settle.plans import embedded
+from settle.plans import c042, embedded, gross, levies, units
 from settle.session import stage
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -33,22 +32,27 @@ FLOWS = {
     "flow_d276_exports": inputs.exports,
     "flow_d277": inputs.d277_all,
     "flow_c042": lambda t: c042.latest_volumes(t.raw_c042, inputs.unit_dim(t)),
-    "flow_big_demand_last": inputs.big_demand_last,
-    "flow_s014": lambda t: s014.volumes_all_runs(t.raw_s014, inputs.unit_dim(t)),
     "flow_s014_last": inputs.s014_last,
-    "flow_gross_demand": inputs.gross_demand,
     "flow_gross_daily": lambda t: gross.gross_daily(inputs.gross_demand(t)),
     "flow_cap_mech": lambda t: levies.cap_mech(stage(inputs.gross_demand(t), "gross"), inputs.holidays(t)),
     "flow_ro_fit": lambda t: levies.ro_fit(*inputs.scheme_inputs(t)),
     "flow_embedded": lambda t: embedded.embedded_generation(*inputs.embedded_inputs(t)),
-    "flow_unit_dictionary": lambda t: inputs.units.unit_dictionary(inputs.source_units(t), t.raw_bm_units),
+    "flow_unit_dictionary": lambda t: units.unit_dictionary(inputs.source_units(t), t.raw_bm_units),
 }
 
 
-def run(flow, tables) -> float:
-    start = time.perf_counter()
+def shuffled(spark) -> int:
+    """Bytes written to shuffles so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def run(flow, tables) -> tuple[float, float]:
+    """Seconds and shuffled megabytes of one run."""
+    before, start = shuffled(tables.spark), time.perf_counter()
     flow(tables).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    spent = time.perf_counter() - start
+    return spent, (shuffled(tables.spark) - before) / 1e6
 
 
 def main():
@@ -66,12 +70,14 @@ def main():
     for view in VIEWS:
         getattr(tables, view)
     landing = time.perf_counter() - start
-    times = {name: round(min(run(flow, tables) for _ in range(2)), 3) for name, flow in FLOWS.items()}
+    best = {name: min(run(flow, tables) for _ in range(2)) for name, flow in FLOWS.items()}
+    times = {name: round(spent, 3) for name, (spent, _) in best.items()}
     print(json.dumps({
         "metric": "settlement flows, total of best of two runs",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "shuffle_mb": {name: round(size, 1) for name, (_, size) in best.items()},
         "landing_sec": round(landing, 3),
         "sf": os.path.basename(FOLDER.rstrip("/")).removeprefix("sf"),
         "cpus": int(CPUS),

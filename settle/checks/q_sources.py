@@ -56,12 +56,7 @@ def load_llf(t):
     return files.load_llf(t.spark, land_llf(t))
 
 
-@query(
-    "load_tlm",
-    "settlement_date:d settlement_run_type settlement_period off_taking:f delivering:f gsp_area",
-    "SELECT * FROM tlm_rows",
-)
-def load_tlm(t):
+def land_tlm(t):
     raw = t.raw_tlm.select(
         F.date_format("settlement_date", DAY_FIRST).alias("Settlement Date"),
         F.col("settlement_run_type").alias("Settlement Run Type"),
@@ -70,15 +65,19 @@ def load_tlm(t):
         F.col("off_taking").alias("Off Taking"),
         F.col("delivering").alias("Delivering"),
     )
-    return files.load_tlm(t.spark, inputs.land_csv(raw, "tlm"))
+    return inputs.land_csv(raw, "tlm")
 
 
 @query(
-    "load_gcf",
-    "gsp_area settlement_date:d run_type settlement_period gcf:f",
-    "SELECT * FROM raw_gcf",
+    "load_tlm",
+    "settlement_date:d settlement_run_type settlement_period off_taking:f delivering:f gsp_area",
+    "SELECT * FROM tlm_rows",
 )
-def load_gcf(t):
+def load_tlm(t):
+    return files.load_tlm(t.spark, land_tlm(t))
+
+
+def land_gcf(t):
     raw = t.raw_gcf.select(
         F.col("gsp_area").alias("GSP_GROUP_ID"),
         F.col("settlement_date").alias("SETTLEMENT_DATE"),
@@ -86,7 +85,16 @@ def load_gcf(t):
         F.col("settlement_period").alias("SETTLEMENT_PERIOD"),
         F.col("gcf").alias("GSP_GROUP_CORRECTION_FACTOR"),
     )
-    return files.load_gcf(t.spark, inputs.land_csv(raw, "gcf"))
+    return inputs.land_csv(raw, "gcf")
+
+
+@query(
+    "load_gcf",
+    "gsp_area settlement_date:d run_type settlement_period gcf:f",
+    "SELECT * FROM raw_gcf",
+)
+def load_gcf(t):
+    return files.load_gcf(t.spark, land_gcf(t))
 
 
 PC_SPEC = (

@@ -7,17 +7,6 @@ def _schema(**fields: str) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in fields.items())
 
 
-D0276 = _schema(
-    zpd="string", pool="string", hdr="string", gsp="string", ccc="int",
-    spx="int", a="string", h="string", m="string", c="string", ai="int",
-)
-
-D0277 = _schema(
-    zpd="string", pool="string", hdr="string", gsp="string", a="string",
-    b="string", c="string", d="string", e="string", f="string", g="string",
-    h="string", i="string", j="string", k="string", l="string", m="string",
-)
-
 TLM_FILE = (
     "`Settlement Date` string, `Settlement Run Type` string,"
     " `Settlement Period` int, `Zone` int, `Off Taking` double, `Delivering` double"
