@@ -30,7 +30,7 @@ def join_run_rank(t):
     AND x.gsp_area = r.gsp_area AND x.settlement_period = r.settlement_period""",
 )
 def join_tlm(t):
-    side = bounded(factors.loss_multipliers(t.tlm_rows))
+    side = bounded(factors.loss_multipliers(t.tlm_rows), within=t.tlm_rows)
     return factors.join_factor(d276.parse(t.raw_d276), side)
 
 
@@ -40,7 +40,7 @@ def join_tlm(t):
     AND x.gsp_area = r.gsp_area AND x.settlement_period = r.settlement_period""",
 )
 def join_gcf(t):
-    side = bounded(factors.grid_factors(t.raw_gcf))
+    side = bounded(factors.grid_factors(t.raw_gcf), within=t.raw_gcf)
     return factors.join_factor(d276.parse(t.raw_d276), side)
 
 

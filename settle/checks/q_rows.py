@@ -79,7 +79,7 @@ VOLUME_SPEC = " ".join(f"{c}:f" for c in measures.VOLUMES)
 )
 def proj_scale(t):
     rows = d276.parse(t.raw_d276).where(d276.is_import() & F.col("settlement_run").isin(IMPORT_RUNS))
-    side = bounded(factors.loss_multipliers(t.tlm_rows))
+    side = bounded(factors.loss_multipliers(t.tlm_rows), within=t.tlm_rows)
     return measures.import_volumes(factors.join_factor(rows.dropDuplicates(), side))
 
 

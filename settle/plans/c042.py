@@ -36,7 +36,7 @@ def latest_volumes(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
     rank = run_rank("settlementruntype")
     best = runs.latest_rank(rows, runs.UNIT_DIRECTION, rank)
     last = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank).dropDuplicates()
-    current = bounded(units.current_units(dictionary, *units.ATTRIBUTES))
+    current = bounded(units.current_units(dictionary, *units.ATTRIBUTES), within=dictionary)
     return last.join(current, "bmunitid", "left")
 
 
@@ -47,7 +47,7 @@ def embedded_units(volumes: DataFrame) -> DataFrame:
 def big_demand_rows(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Imports of large transmission-connected sites, each row once."""
     large = dictionary.where(F.col("enapp_class").isin(BIG_DEMAND_CLASSES))
-    current = bounded(units.current_units(large, "enapp_class"))
+    current = bounded(units.current_units(large, "enapp_class"), within=dictionary)
     rows = parse(raw).where(F.col("importexportindicator") == "I")
     return rows.join(current, "bmunitid").dropDuplicates()
 

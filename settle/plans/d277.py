@@ -79,7 +79,8 @@ def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame, calendar: DataFram
 
 def half_hours(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
     """Complete rows spread over the periods that have all factors."""
-    shares = bounded(day_shares(tlm, gcf, pc, calendar), PROFILE_WIDTH)
+    # Factors are unique by date and area, so a coefficient row stays one row.
+    shares = bounded(day_shares(tlm, gcf, pc, calendar), PROFILE_WIDTH, within=pc)
     bands = bounded(factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date")))
     joined = rows.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
     return factors.expand_periods(factors.join_loss_bands(joined, bands))

@@ -28,7 +28,7 @@ def parse(raw: DataFrame) -> DataFrame:
 
 def add_unit_columns(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     current = units.unit_categories(units.current_units(dictionary, *units.ATTRIBUTES))
-    return units.join_categories(rows, bounded(current)).withColumns({
+    return units.join_categories(rows, bounded(current, within=dictionary)).withColumns({
         "importexportindicator": import_export("bmunitmeteredvolume"),
         "player": player("bmunitid"),
     })

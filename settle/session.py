@@ -60,14 +60,17 @@ def once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded(df: DataFrame, width: int = 1) -> DataFrame:
+def bounded(df: DataFrame, width: int = 1, within: DataFrame | None = None) -> DataFrame:
     """Offer a join side for broadcast if, once counted, it is small.
 
-    The side is computed once into the checkpoint folder and counted there. A
-    larger side is returned without a hint: the join then shuffles both sides
+    The side is computed once into the checkpoint folder and counted there. If
+    it cannot have more rows than a stored table, that table is passed as
+    `within`: its count comes from file footers and nothing is computed ahead.
+    A larger side is returned without a hint: the join then shuffles both sides
     and adaptive execution splits hot keys. `width` is the row size in units of
     500 bytes.
     """
     limit = int(df.sparkSession.conf.get("settle.broadcastRows", str(BROADCAST_ROWS)))
-    kept = once(df)
-    return F.broadcast(kept) if kept.count() * width <= limit else kept
+    side = once(df) if within is None else df
+    counted = side if within is None else within
+    return F.broadcast(side) if counted.count() * width <= limit else side
