@@ -1,4 +1,10 @@
-"""Every registered query gives the rows of its oracle."""
+"""Registered queries give the rows of their oracles.
+
+Queries whose whole plan is part of another one here are left to `check.py`;
+SETTLE_ALL=1 runs them too.
+"""
+
+import os
 
 import pytest
 
@@ -7,6 +13,17 @@ from settle.checks.compare import connect, oracle_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
 
+PART_OF_ANOTHER = {
+    "agg_d276_hh", "agg_d276_exports",  # flow_d276, flow_d276_exports
+    "filter_nonzero", "agg_d277_hh", "union_quality", "flow_d277_last",  # flow_d277, agg_d277_quality
+    "union_p315_hh", "union_p315_peak", "agg_peak_277",  # flow_p315, agg_daily_277
+    "union_gross_demand", "flow_gross_demand", "agg_daily_gross",  # flow_gross_daily, flow_cap_mech
+    "union_positional", "join_flag_back", "last_run_scheme", "union_ro_fit",  # flow_ro_fit
+    "union_embedded", "join_complement",  # flow_embedded
+}
+
+NAMES = [n for n in QUERIES if os.environ.get("SETTLE_ALL") or n not in PART_OF_ANOTHER]
+
 
 @pytest.fixture(scope="module")
 def con():
@@ -17,7 +34,7 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     columns, got = spark_rows(spark, FOLDER, name)
     expected, want = oracle_rows(con, name)
