@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -29,16 +31,29 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Checkpoint folder of the cluster; a temporary one only where none is set."""
+    """Folder for intermediate tables that driver and executors share.
+
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset a
+    temporary folder serves, but only for a local master: executors of a
+    cluster would each write to a disk of their own.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="settle-")
+        folder = _local_folder(context.master)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
+def _local_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    folder = tempfile.mkdtemp(prefix="settle-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
