@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.llm import language_id
+from settle.llm import language_id, simhash
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -16,6 +16,11 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
 }
