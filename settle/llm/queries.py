@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from settle.llm import language_id, simhash
+from settle.llm import decontaminate, language_id, simhash
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -20,7 +21,56 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.findings(table(spark, folder, "documents"), table(spark, folder, "benchmark"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        F.col("_match_n_words").alias("n_words"),
+        F.col("_match_n_hit").alias("n_hit"),
+        F.size("_match_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("_match_items", ","), 256).alias("items_sha256"),
+        F.col("_match_contaminated").alias("contaminated"),
+        F.col("_match_longest").cast("bigint").alias("longest"),
+    )
+
+
+# Words by place; windows of every length that items have; a word is hit if a
+# window that occurs begins at most its length before it.
+ORACLES["op5_decontaminate"] = """
+WITH item AS (
+  SELECT item_id, w AS words, least(len(w), 13) AS k
+  FROM (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, k, array_to_string(words[i:i + k - 1], ' ') AS win
+  FROM (SELECT item_id, words, k, unnest(range(1, CAST(len(words) - k + 2 AS BIGINT))) AS i FROM item)),
+doc AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS words FROM documents),
+spot AS (
+  SELECT rid, k, i, array_to_string(words[i:i + k - 1], ' ') AS win
+  FROM (SELECT rid, words, k, unnest(range(1, CAST(len(words) - k + 2 AS BIGINT))) AS i
+        FROM doc, (SELECT DISTINCT k FROM item) WHERE len(words) >= k)),
+hit AS (SELECT rid, k, i, item_id FROM spot JOIN win USING (k, win)),
+word AS (SELECT rid, count(*) AS n FROM
+  (SELECT DISTINCT rid, unnest(range(i, i + k)) AS place FROM (SELECT DISTINCT rid, k, i FROM hit)) GROUP BY rid),
+its AS (SELECT rid, list(DISTINCT CAST(item_id AS VARCHAR) ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM hit GROUP BY rid),
+placed AS (SELECT DISTINCT rid, item_id, k, i FROM hit),
+run AS (SELECT rid, item_id, k, i, i - row_number() OVER (PARTITION BY rid, item_id ORDER BY i) AS part FROM placed),
+best AS (SELECT rid, max(n) AS longest FROM
+  (SELECT rid, max(i + k) - min(i) AS n FROM run GROUP BY rid, item_id, part) GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit,
+  CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256,
+  coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(words) AS contaminated,
+  CAST(coalesce(longest, 0) AS BIGINT) AS longest
+FROM doc LEFT JOIN word USING (rid) LEFT JOIN its USING (rid) LEFT JOIN best USING (rid)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
+    "op5_decontaminate": op5_decontaminate,
 }
