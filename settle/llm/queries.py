@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settle.llm import decontaminate, language_id, simhash
+from settle.llm import decontaminate, language_id, secrets, simhash
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -17,6 +17,52 @@ def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"), ["doc_id"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    every = F.array_sort(F.concat("_base", "_live"))
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secrets.KINDS],
+        F.sha2(secrets.joined(F.col("_base")), 256).alias("base_sha256"),
+        secrets.joined(every).alias("spans"),
+        F.size("_live").cast("bigint").alias("n_live"),
+        "_n_copied",
+    ).withColumnRenamed("_n_copied", "n_copied")
+
+
+# Starts follow from the lengths of the pieces between the matches.
+ORACLES["op1_secret_scan"] = r"""
+WITH pat(kind, rank, p) AS (VALUES
+  ('assign', 0, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  ('access', 1, 'AKIA[A-Z0-9]+'), ('hex', 2, '[0-9a-f]+')),
+doc AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '<null>') AS source, coalesce(text, '') AS text FROM documents),
+cut AS (SELECT rid, kind, rank, p, m, string_split_regex(text, p) AS g
+  FROM (SELECT *, regexp_extract_all(text, p) AS m FROM doc, pat) WHERE len(m) > 0),
+each AS (SELECT rid, kind, rank, p, unnest(m) AS m, unnest(g[:len(m)]) AS g, unnest(range(len(m))) AS i FROM cut),
+placed AS (SELECT rid, kind, rank, m, CASE kind WHEN 'assign' THEN regexp_extract(m, p, 2) ELSE m END AS v,
+  sum(length(g) + length(m)) OVER (PARTITION BY rid, kind ORDER BY i) AS e FROM each),
+base AS (SELECT rid, kind, rank, CAST(e - length(m) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, v FROM placed
+  WHERE length(v) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 ELSE 16 END),
+owners AS (SELECT v, count(DISTINCT source) AS n FROM base JOIN doc USING (rid) GROUP BY v),
+live AS (SELECT DISTINCT rid, 'live' AS kind, 3 AS rank, e - length(v) AS s, e
+  FROM base JOIN owners USING (v) WHERE n <= 3 AND len(list_distinct(string_split(v, ''))) >= 8),
+per AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (n > 3) AS n_copied,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS joined
+  FROM base JOIN owners USING (v) GROUP BY rid),
+al AS (SELECT rid, count(*) FILTER (kind = 'live') AS n_live,
+  string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS spans
+  FROM (SELECT rid, kind, rank, s, e FROM base UNION ALL SELECT * FROM live) GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(joined, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+  coalesce(n_copied, 0) AS n_copied
+FROM doc LEFT JOIN per USING (rid) LEFT JOIN al USING (rid)"""
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -70,6 +116,7 @@ FROM doc LEFT JOIN word USING (rid) LEFT JOIN its USING (rid) LEFT JOIN best USI
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
