@@ -7,9 +7,11 @@ Each stage takes (session, documents, folder of tables) and returns a table;
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from settle.llm import language_id
-from settle.llm.common import prepare, store
+from settle.llm import bpe, decontaminate, language_id, secrets, simhash
+from settle.llm.common import prepare, store, table
+from settle.llm.queries import multilingual, token_digests
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +20,37 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return language_id.keep_identified(docs)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    prepare(spark)
+    return simhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold passages of the benchmark."""
+    return decontaminate.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, live-looking secrets masked."""
+    prepare(spark)
+    masked = secrets.mask_live(docs)
+    return masked.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), "n_chars"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document that is left, with digests of ids and decoded bytes."""
+    prepare(spark)
+    vocabulary = multilingual()
+    return token_digests(bpe.encode(docs, vocabulary, ["doc_id"]), vocabulary)
+
+
 STAGES = [
     ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", mask_secrets),
+    ("byte_bpe", tokenize),
 ]
 
 # Language models and near-duplicate fingerprints are beyond SQL; the tests

@@ -224,7 +224,7 @@ def match_block(documents: DataFrame, columns: list[str], block: Block) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column(len(columns)).to_pylist()]
+            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(text_at).to_pylist()]
             start = 0
             while start < len(texts):
                 end, size = start, 0
@@ -246,9 +246,12 @@ def match_block(documents: DataFrame, columns: list[str], block: Block) -> DataF
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
                 start = end
 
+    # The text is not sent twice where it is among the columns.
+    text_at = columns.index("text") if "text" in columns else len(columns)
     kinds = documents.select(*columns).schema
     result = documents.sparkSession.createDataFrame([], RESULT).schema
-    renamed = documents.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)], F.col("text").cast("binary").alias("_text"))
+    sent = columns if "text" in columns else [*columns, "text"]
+    renamed = documents.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(sent)])
     schema = type(kinds)()
     for i, field in enumerate([*kinds.fields, *result.fields]):
         schema = schema.add(f"_{i}", field.dataType)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settle.llm import decontaminate, language_id, secrets, simhash
+from settle.llm import bpe, decontaminate, language_id, secrets, simhash
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -115,9 +116,29 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit,
 FROM doc LEFT JOIN word USING (rid) LEFT JOIN its USING (rid) LEFT JOIN best USING (rid)"""
 
 
+def token_digests(encoded: DataFrame, vocabulary: bpe.Vocabulary) -> DataFrame:
+    """doc_id, n_tokens and digests of the ids and of what they decode to."""
+    return bpe.decode(encoded, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def multilingual() -> bpe.Vocabulary:
+    return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = multilingual()
+    return token_digests(bpe.encode(table(spark, folder, "documents"), vocabulary, ["doc_id"]), vocabulary)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
+    "op9_byte_bpe": op9_byte_bpe,
 }
