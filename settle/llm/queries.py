@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settle.llm import bpe, decontaminate, language_id, secrets, simhash
+from settle.llm import bpe, decontaminate, language_id, secrets, simhash, warc
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -126,6 +126,27 @@ def token_digests(encoded: DataFrame, vocabulary: bpe.Vocabulary) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    index, files = warc.archive(table(spark, folder, "pages"))
+    return warc.read_records(index, files, payloads=False).select(
+        F.expr("try_cast(record_id AS bigint)").alias("page_id"),
+        F.col("length").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        F.expr("try_cast(refers_to AS bigint)").alias("refers_to"),
+    )
+
+
+ORACLES["op6_warc"] = """
+WITH page AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+big AS (SELECT payload_digest, max(page_id) AS largest FROM page WHERE payload_bytes >= 1000 GROUP BY payload_digest),
+told AS (SELECT page.*, CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+  FROM page LEFT JOIN big USING (payload_digest))
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM told"""
+
+
 def multilingual() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -140,5 +161,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
+    "op6_warc": op6_warc,
     "op9_byte_bpe": op9_byte_bpe,
 }
