@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settle.llm import bpe, decontaminate, language_id, secrets, simhash, warc
+from settle.llm import bpe, decontaminate, html_text, language_id, personal, secrets, simhash, warc
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -147,6 +147,29 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM told"""
 
 
+def op7_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_text.extract(table(spark, folder, "pages"), ["page_id", "url"])
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def op10_personal(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.find(table(spark, folder, "documents"), ["doc_id"])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*personal.BASE))
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+            for kind in personal.BASE
+        ],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def multilingual() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -162,5 +185,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
+    "op7_html_text": op7_html_text,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_personal": op10_personal,
 }
