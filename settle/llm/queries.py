@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settle.llm import bpe, decontaminate, html_text, language_id, personal, secrets, simhash, warc
+from settle.llm import bpe, decontaminate, html_text, language_id, nearest, personal, quality, secrets, simhash, warc
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -64,6 +64,10 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM doc LEFT JOIN per USING (rid) LEFT JOIN al USING (rid)"""
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -158,18 +162,24 @@ def op10_personal(spark: SparkSession, folder: str) -> DataFrame:
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
     base = F.filter("spans", lambda s: s["kind"].isin(*personal.BASE))
     return found.select(
         "doc_id",
-        *[
-            F.size(F.filter("spans", lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-            for kind in personal.BASE
-        ],
+        *[count(kind) for kind in personal.BASE],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
 
 
+def op8_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    found = nearest.nearest(rows, F.col("vec_id") % 20 == 0, 20, "vec_id", "embedding")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def multilingual() -> bpe.Vocabulary:
     return bpe.Vocabulary(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -181,11 +191,13 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
     "op7_html_text": op7_html_text,
+    "op8_nearest": op8_nearest,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_personal": op10_personal,
 }
