@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from settle.operators.runs import last_version
-from settle.plans import c042, d276, d277, gross, s014, units
+from settle.plans import c042, d276, d277, gross, levies, s014, units
 from settle.session import fresh_path, stage
+from settle.sources import xml
+from settle.sources.codes import SCHEME_RUNS
 from settle.sources.holidays import working_calendar
 
 
@@ -69,15 +72,23 @@ def gross_demand(t) -> DataFrame:
     return gross.gross_demand(stage(p315_hh(t), "p315_hh"), big_demand_last(t))
 
 
-def gross_saved(t) -> DataFrame:
-    return stage(gross_demand(t), "gross_demand_hh")
+def gross_daily(t) -> DataFrame:
+    return gross.gross_daily(p315_hh(t), big_demand_last(t))
+
+
+def cap_mech(t) -> DataFrame:
+    """Only the area table is stored; the transmission demand lies on its dates."""
+    area = stage(p315_hh(t), "p315_hh")
+    demand = gross.gross_demand(area, big_demand_last(t))
+    return levies.cap_mech(demand, holidays(t), area.select("date"))
 
 
 def scheme_inputs(t) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored for the passes over their dates, with the runs and columns that the schemes read."""
     return (
-        stage(d276_all(t), "d276_hh_all_runs"),
-        stage(d277_all(t), "d277_hh_all_runs"),
-        stage(big_demand(t), "big_demand_all"),
+        stage(levies.scheme_rows(d276_all(t), ["SF"]), "d276_scheme"),
+        stage(levies.scheme_rows(d277_all(t), SCHEME_RUNS), "d277_scheme"),
+        stage(levies.scheme_rows(big_demand(t), SCHEME_RUNS), "big_demand_scheme"),
     )
 
 
@@ -86,11 +97,30 @@ def embedded_inputs(t) -> tuple[DataFrame, DataFrame]:
 
 
 def source_units(t) -> DataFrame:
-    return units.source_dictionary(t.raw_unit_xml, t.raw_party, t.raw_unit_names, t.raw_station)
+    parties, names = xml.parse_party_list(t.raw_party_xml), xml.parse_unit_list(t.raw_names_xml)
+    return units.source_dictionary(t.raw_unit_xml, parties, names, t.raw_station)
+
 
+def land_csv(df: DataFrame, name: str, other=None) -> str:
+    """Save as CSV files in folders below a fresh one; the path of the upper.
 
-def land_csv(df: DataFrame, name: str, header: bool = True) -> str:
-    """Save as CSV files in a folder below a fresh one; the path of the upper."""
+    Half of the rows go to files of another layout: columns the other way
+    round, one more among them, and what `other` makes of their values.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.option("header", header).csv(f"{path}/landed")
+    usual = F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0
+    df.where(usual).write.option("header", True).csv(f"{path}/landed")
+    changed = df.where(~usual).withColumns(other or {})
+    columns = df.columns[::-1]
+    changed.withColumn("Remark", F.lit("as received, unchecked")).select(
+        *columns[:1], "Remark", *columns[1:]
+    ).write.option("header", True).csv(f"{path}/other/deeper")
     return path
+
+
+def land_lines(df: DataFrame, top: list[str], path: str) -> None:
+    """Save as one text file in a folder, CSV below the lines `top`."""
+    rows = df.select(F.lit(len(top)).alias("n"), F.to_csv(F.struct(*df.columns)).alias("value"))
+    above = df.sparkSession.createDataFrame(list(enumerate(top)), "n int, value string")
+    whole = above.unionByName(rows).repartition(1).sortWithinPartitions("n")
+    whole.select("value").write.text(path)

@@ -77,7 +77,7 @@ def flow_gross_demand(t):
 
 @query("flow_gross_daily", DAY_SPEC, "SELECT * FROM gross_demand_daily")
 def flow_gross_daily(t):
-    return gross.gross_daily(inputs.gross_demand(t))
+    return inputs.gross_daily(t)
 
 
 @query(
@@ -86,7 +86,7 @@ def flow_gross_daily(t):
     "SELECT * FROM cap_mech_rows",
 )
 def flow_cap_mech(t):
-    return levies.cap_mech(inputs.gross_saved(t), inputs.holidays(t))
+    return inputs.cap_mech(t)
 
 
 @query(

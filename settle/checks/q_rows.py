@@ -203,12 +203,12 @@ def filter_nonzero(t):
 @query(
     "filter_date_overlap", "o_orderkey date:d",
     """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date FROM orders
-    WHERE CAST(o_orderdate AS DATE) BETWEEN (SELECT greatest(min(CAST(l_shipdate AS DATE)), (SELECT min(CAST(o_orderdate AS DATE)) FROM orders)) FROM lineitem WHERE l_linenumber > 2)
-      AND (SELECT least(max(CAST(l_shipdate AS DATE)), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) FROM lineitem WHERE l_linenumber > 2)""",
+    WHERE CAST(o_orderdate AS DATE) BETWEEN (SELECT greatest(min(CAST(l_shipdate AS DATE)), (SELECT min(CAST(o_orderdate AS DATE)) FROM orders)) FROM lineitem)
+      AND (SELECT least(max(CAST(l_shipdate AS DATE)), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders)) FROM lineitem)""",
 )
 def filter_date_overlap(t):
     orders = t.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
-    lines = t.table("lineitem").where("l_linenumber > 2").select(F.col("l_shipdate").cast("date").alias("date"))
+    lines = t.table("lineitem").select(F.col("l_shipdate").cast("date").alias("date"))
     shared = ranges.overlap(ranges.bounds(orders, "date"), ranges.bounds(lines, "date"))
     return ranges.clip(orders, "date", shared)
 

@@ -18,9 +18,13 @@ DAY_FIRST = "dd/MM/yyyy"
 
 @query("scan_table", "zpd hdr gsp ccc spx a", "SELECT zpd, hdr, gsp, ccc, spx, a FROM raw_d276")
 def scan_table(t):
-    path = fresh_path(t.spark, "d276") + "/table"
-    tables.sink_table(t.raw_d276, path)
-    return tables.scan_table(t.spark, path, ["zpd", "hdr", "gsp", "ccc", "spx", "a"])
+    """Half of the rows by path, half by catalog name."""
+    path, columns = fresh_path(t.spark, "d276") + "/table", ["zpd", "hdr", "gsp", "ccc", "spx", "a"]
+    even = F.col("ccc") % 2 == 0
+    tables.sink_table(t.raw_d276.where(even), path)
+    tables.sink_table(t.raw_d276.where(~even), "settle_d276_scanned", mode="overwrite")
+    by_name = tables.scan_table(t.spark, "settle_d276_scanned", columns)
+    return tables.scan_table(t.spark, path, columns).unionByName(by_name)
 
 
 def land_llf(t):
@@ -29,7 +33,8 @@ def land_llf(t):
     raw = t.raw_llf.withColumns(date).withColumn("distributor_business_id", F.lit("10"))
     columns = ["distributor_business_id", *files.LLF_COLUMNS]
     named = raw.select(*[F.col(c).alias(c.upper()) for c in columns])
-    path = inputs.land_csv(named, "llf")
+    iso = {c.upper(): F.date_format(F.to_date(c.upper(), DAY_FIRST), "yyyy-MM-dd") for c in date}
+    path = inputs.land_csv(named, "llf", iso)
     named.write.option("header", True).csv(f"{path}/again/deeper")
     return path
 
@@ -65,7 +70,7 @@ def land_tlm(t):
         F.col("off_taking").alias("Off Taking"),
         F.col("delivering").alias("Delivering"),
     )
-    return inputs.land_csv(raw, "tlm")
+    return inputs.land_csv(raw, "tlm", {"Settlement Date": F.date_format(F.to_date("Settlement Date", DAY_FIRST), "yyyy-MM-dd")})
 
 
 @query(
@@ -85,7 +90,7 @@ def land_gcf(t):
         F.col("settlement_period").alias("SETTLEMENT_PERIOD"),
         F.col("gcf").alias("GSP_GROUP_CORRECTION_FACTOR"),
     )
-    return inputs.land_csv(raw, "gcf")
+    return inputs.land_csv(raw, "gcf", {"SETTLEMENT_DATE": F.date_format("SETTLEMENT_DATE", DAY_FIRST)})
 
 
 @query(
@@ -109,24 +114,27 @@ def load_pc(t):
     return files.load_pc(t.spark, inputs.land_csv(raw.toDF(*[c.upper() for c in raw.columns]), "pc"))
 
 
+def land_units(t):
+    """Two lists as published: preamble with commas, header, units; some units have an id only."""
+    spelled = {c: c.replace("_", " ").title() for c in BM_UNIT_COLUMNS}
+    path = fresh_path(t.spark, "bmunits")
+    for i, order in enumerate((BM_UNIT_COLUMNS, BM_UNIT_COLUMNS[::-1])):
+        part = t.listed_units.where(F.pmod(F.xxhash64("bm_unit_id"), F.lit(2)) == i)
+        columns = [F.col(c) if c in part.columns else F.lit(None).cast("string").alias(c) for c in order]
+        header = ",".join(spelled[c] for c in order)
+        top = ["Registered units,2020-04-01", "Created for settlement, all regions", header]
+        inputs.land_lines(part.select(*columns), top, f"{path}/{i}")
+    return path
+
+
 @query(
     "load_bm_units",
     "bm_unit_id bmu_name party_id fpn_flag n_columns",
-    "SELECT *, 28 AS n_columns FROM raw_bm_units",
+    "SELECT *, 28 AS n_columns FROM listed_units",
 )
 def load_bm_units(t):
-    listed = t.raw_bm_units
-    known = {c: F.col(c) if c in listed.columns else F.lit("-") for c in BM_UNIT_COLUMNS}
-    path = inputs.land_csv(listed.select(*[v.alias(c) for c, v in known.items()]), "bmunits", False)
-    # Preamble and header as in the published file.
-    heading = ",".join(c.replace("_", " ").title().replace("Bm Unit Id", "BM Unit ID") for c in BM_UNIT_COLUMNS)
-    lines = ["Registered units", "Created for settlement", heading]
-    top = t.spark.createDataFrame([("\n".join(lines),)], "value string")
-    top.write.option("header", False).option("quote", "\u0000").option("escape", "\u0000").option(
-        "sep", "\u0001"
-    ).csv(f"{path}/top")
-    loaded = files.load_bm_units(t.spark, path)
-    return loaded.withColumn("n_columns", F.lit(len(loaded.columns)))
+    loaded = files.load_bm_units(t.spark, land_units(t))
+    return loaded.select("bm_unit_id", "bmu_name", "party_id", "fpn_flag", F.lit(len(loaded.columns)).alias("n_columns"))
 
 
 @query(

@@ -87,7 +87,7 @@ def agg_peak_277(t):
 
 @query("agg_daily_gross", DAY_SPEC, "SELECT * FROM gross_demand_daily")
 def agg_daily_gross(t):
-    return gross.gross_daily(inputs.gross_demand(t))
+    return measures.day_totals(inputs.gross_demand(t), meters=F.sum)
 
 
 @query(

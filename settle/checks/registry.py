@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from settle.checks.views import VIEWS
 from settle.session import configure, fresh_path
@@ -25,20 +24,19 @@ STEPS: dict[str, str] = dict(VIEWS)
 NUDGE = 1.23456789e-9
 
 
-# (folder of tables, view) -> path and schema of the view saved as a table.
-_LANDED: dict[tuple[str, str], tuple[str, StructType]] = {}
-
-
 class Inputs:
-    """The views over one folder of tables, each saved once as a parquet table.
+    """The views over one folder of tables, as plans over the given tables.
 
-    Flows start from stored report and factor tables, so the views are stored
-    too. A given table may be a single file block; its rows are spread evenly.
+    `landed` saves each view once as a parquet table instead, as flows find
+    their reports in production. A given table may be a single file block; its
+    rows are then spread evenly.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, landed: bool = False):
         self.spark = configure(spark)
         self.folder = folder
+        self.landed = landed
+        self._views: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """One of the given tables."""
@@ -47,23 +45,24 @@ class Inputs:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:
             raise AttributeError(name)
-        key = (self.folder, name)
-        if key not in _LANDED:
-            _LANDED[key] = self._land(name)
-        path, schema = _LANDED[key]
-        return self.spark.read.schema(schema).parquet(path)
-
-    def _land(self, name: str) -> tuple[str, StructType]:
-        for table in TABLES:
-            self.table(table).createOrReplaceTempView(table)
-        made = self.spark.sql(with_steps(f"SELECT * FROM {name}"))
+        if name not in self._views:
+            for table in TABLES:
+                self.table(table).createOrReplaceTempView(table)
+            made = self.spark.sql(with_steps(f"SELECT * FROM {name}"))
+            self._views[name] = self._land(made, name) if self.landed else made
+        return self._views[name]
+
+    def _land(self, made: DataFrame, name: str) -> DataFrame:
         path = fresh_path(self.spark, name)
         made.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
-        return path, made.schema
+        return self.spark.read.schema(made.schema).parquet(path)
 
 
-def with_steps(select: str) -> str:
-    """SQL preceded by the steps it names, directly or through others."""
+def with_steps(select: str, once: bool = False) -> str:
+    """SQL preceded by the steps it names, directly or through others.
+
+    `once` has DuckDB compute each step a single time, however often it is named.
+    """
     needed: list[str] = []
 
     def visit(sql: str) -> None:
@@ -75,7 +74,8 @@ def with_steps(select: str) -> str:
     visit(select)
     if not needed:
         return select
-    ctes = ",\n".join(f"{n} AS ({STEPS[n].strip()})" for n in needed)
+    how = "AS MATERIALIZED" if once else "AS"
+    ctes = ",\n".join(f"{n} {how} ({STEPS[n].strip()})" for n in needed)
     return f"WITH {ctes}\n{select.strip()}"
 
 
@@ -120,7 +120,7 @@ def query(name: str, spec: str, sql: str):
             return _present(function(Inputs(spark, folder)), spec)
 
         QUERIES[name] = run
-        ORACLES[name] = with_steps(_present_sql(sql, spec))
+        ORACLES[name] = with_steps(_present_sql(sql, spec), once=True)
         return function
 
     return register

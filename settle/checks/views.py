@@ -145,6 +145,13 @@ SELECT {_supplier_unit} AS bmu_id, 'PARTY' || CAST(s_nationkey AS STRING) AS bsc
   CASE WHEN s_suppkey % 17 = 0 THEN TRUE ELSE NULL END AS intercons,
   CASE WHEN s_suppkey % 19 = 0 THEN TRUE ELSE NULL END AS sva_only
 FROM supplier JOIN {_EVERY_FOURTH_TWICE}""",
+    # All suppliers; some have an id and nothing else.
+    "listed_units": f"""
+SELECT {_supplier_unit} AS bm_unit_id, CASE WHEN s_suppkey % 9 > 0 THEN s_name END AS bmu_name,
+  CASE WHEN s_suppkey % 9 > 0 THEN 'PARTY' || CAST(s_nationkey AS STRING) END AS party_id,
+  CASE WHEN s_suppkey % 9 = 0 THEN NULL WHEN s_suppkey % 2 = 0 THEN 'T' ELSE 'F' END AS fpn_flag
+FROM supplier""",
+    # A dictionary is merged with the units of one list, which lacks some.
     "raw_bm_units": f"""
 SELECT {_supplier_unit} AS bm_unit_id, s_name AS bmu_name, 'PARTY' || CAST(s_nationkey AS STRING) AS party_id,
   CASE WHEN s_suppkey % 2 = 0 THEN 'T' ELSE 'F' END AS fpn_flag
@@ -158,6 +165,18 @@ FROM supplier JOIN {_EVERY_FOURTH_TWICE}""",
 SELECT {_supplier_unit} AS bmunitid, s_name AS name, {_CLASS} AS fueltype,
   CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'NGC' || CAST(s_suppkey AS STRING) END AS ngcbmunitid
 FROM supplier""",
+    # The lists as payloads: day-first dates among ISO ones, and a second record
+    # for some units that must not mix with the first.
+    "raw_party_xml": """
+SELECT '<response><bmunitforbscparty bmunit="' || bmunit || '" bscparty="' || bscparty || '" effectivefromdate="'
+  || CASE WHEN effectivefromdate = '2016-01-01' THEN '01/01/2016' ELSE effectivefromdate END || '"'
+  || coalesce(' effectivetodate="' || CASE WHEN effectivetodate = '2018-12-31' THEN '31/12/2018' ELSE effectivetodate END || '"', '')
+  || '/></response>' AS payload FROM raw_party""",
+    "raw_names_xml": """
+SELECT '<response><bmunit bmunitid="' || bmunitid || '" name="' || name || '"'
+  || coalesce(' fueltype="' || fueltype || '"', '') || coalesce(' ngcbmunitid="' || ngcbmunitid || '"', '') || '/>'
+  || CASE WHEN fueltype = 'WIND' THEN '<bmunit bmunitid="' || bmunitid || '" name="A former name" fueltype="ZZ" ngcbmunitid="ZZ"/>' ELSE '' END
+  || '</response>' AS payload FROM raw_unit_names""",
     "raw_station": """
 SELECT 'PS' || CAST(n_nationkey AS STRING) AS power_station_id, n_name AS power_station_name FROM nation""",
     "unit_types": f"""

@@ -25,8 +25,20 @@ def compact_date(col: str) -> Column:
     return F.concat_ws("-", *parts).try_cast("date")
 
 
-def day_first_date(col: str) -> Column:
-    return F.try_to_date(F.col(col), "dd/MM/yyyy")
+# Forms in which dates arrive, in the order in which they are tried after ISO.
+DATE_FORMS = ["dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy", "yyyy/MM/dd"]
+
+
+def any_date(col: str | Column) -> Column:
+    """Date from text in any known form; blank text is null.
+
+    Text in no known form fails the job: a date that silently became null would
+    take its row along further on.
+    """
+    text = F.trim((F.col(col) if isinstance(col, str) else col).cast("string"))
+    wrong = F.raise_error(F.concat(F.lit("no known form of date: "), text)).cast("date")
+    known = F.coalesce(text.try_cast("date"), *[F.try_to_date(text, form) for form in DATE_FORMS], wrong)
+    return F.when(text != "", known)
 
 
 def player(unit: str) -> Column:

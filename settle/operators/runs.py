@@ -43,9 +43,13 @@ def flag_last_run(df: DataFrame, best: DataFrame, keys: list[str], rank, out="la
 
 
 def keep_last_run(df: DataFrame, best: DataFrame, keys: list[str], rank) -> DataFrame:
-    """Rows of the latest run only."""
+    """Distinct rows of the latest run only.
+
+    Copies are dropped while the rank is still there: the rows then lie as the
+    join left them, and dropping copies moves nothing.
+    """
     ranked = df.withColumn("_best", rank)
-    return ranked.join(best, [*keys, "_best"], "left_semi").drop("_best")
+    return ranked.join(best, [*keys, "_best"], "left_semi").dropDuplicates().drop("_best")
 
 
 def flag_last_run_of_totals(df: DataFrame, keys: list[str], ranks: dict) -> DataFrame:

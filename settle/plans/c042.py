@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import actual_estimate, all_present, peak, run_rank
-from settle.functions.text import integer, number, player
+from settle.functions.text import any_date, integer, number, player
 from settle.operators import ranges, runs
 from settle.operators.measures import VOLUMES
 from settle.plans import units
@@ -22,7 +22,7 @@ BIG_DEMAND_KEYS = [
 
 def parse(raw: DataFrame) -> DataFrame:
     parsed = raw.drop(*UNUSED).withColumns({
-        "settlementdate": F.col("settlementdate").try_cast("date"),
+        "settlementdate": any_date("settlementdate"),
         "settlementperiod": integer("settlementperiod"),
         "metervolume": number("metervolume"),
         "player": player("bmunitid"),
@@ -35,7 +35,7 @@ def latest_volumes(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
     rows = parse(raw)
     rank = run_rank("settlementruntype")
     best = runs.latest_rank(rows, runs.UNIT_DIRECTION, rank)
-    last = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank).dropDuplicates()
+    last = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank)
     current = bounded(units.current_units(dictionary, *units.ATTRIBUTES), within=dictionary)
     return last.join(current, "bmunitid", "left")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settle.operators import measures, ranges
+from settle.session import stage
 
 
 def p315(half_hourly: DataFrame, profiled: DataFrame) -> DataFrame:
@@ -20,5 +21,11 @@ def gross_demand(p315_hh: DataFrame, big_demand: DataFrame) -> DataFrame:
     return p315_hh.unionByName(inside, allowMissingColumns=True)
 
 
-def gross_daily(gross: DataFrame) -> DataFrame:
-    return measures.day_totals(gross, meters=F.sum)
+def gross_daily(p315_hh: DataFrame, big_demand: DataFrame) -> DataFrame:
+    """Day totals of gross demand.
+
+    The two sides have no key in common, so each is summed by day first; the
+    dates of the area demand are then looked up in its few day rows.
+    """
+    area, transmission = [measures.day_totals(df, meters=F.sum) for df in (p315_hh, big_demand)]
+    return gross_demand(stage(area, "area_daily"), transmission)

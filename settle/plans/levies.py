@@ -30,13 +30,17 @@ def add_calendar(df: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     return flagged.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
-def cap_mech(gross: DataFrame, holidays: DataFrame) -> DataFrame:
-    """Gross demand with the flags of the capacity mechanism."""
+def cap_mech(gross: DataFrame, holidays: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Gross demand with the flags of the capacity mechanism.
+
+    `dates` may give its dates from a stored table.
+    """
     typed = calendar.add_day_type(gross, holidays, "date", "wd", "wd", "nwd")
-    return add_calendar(typed.withColumn("flag_cm", calendar.cap_mech("date", "wd")))
+    return add_calendar(typed.withColumn("flag_cm", calendar.cap_mech("date", "wd")), dates)
 
 
 def scheme_rows(df: DataFrame, run_codes: list[str]) -> DataFrame:
+    """What the schemes read of a table; the runs reach the scan of the raw rows."""
     return df.where(F.col("settlement_run").isin(run_codes)).select(*SCHEME_COLUMNS)
 
 

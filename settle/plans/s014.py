@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import import_export, run_rank
-from settle.functions.text import integer, number, player
+from settle.functions.text import any_date, integer, number, player
 from settle.operators import runs
 from settle.plans import units
 from settle.session import bounded
@@ -21,7 +21,7 @@ NUMBERS = [
 
 def parse(raw: DataFrame) -> DataFrame:
     parsed = {c: number(c) for c in NUMBERS}
-    parsed["settlementdate"] = F.col("settlementdate").try_cast("date")
+    parsed["settlementdate"] = any_date("settlementdate")
     parsed["settlementperiod"] = integer("settlementperiod")
     return raw.drop(*UNUSED).withColumns(parsed)
 
@@ -43,7 +43,7 @@ def last_run_rows(raw: DataFrame) -> DataFrame:
     rows = parse(raw)
     rank = run_rank("settlementruntype")
     best = runs.latest_rank(rows, runs.UNIT_PERIOD, rank)
-    return runs.keep_last_run(rows, best, runs.UNIT_PERIOD, rank).dropDuplicates()
+    return runs.keep_last_run(rows, best, runs.UNIT_PERIOD, rank)
 
 
 def volumes_last_run(raw: DataFrame, dictionary: DataFrame) -> DataFrame:

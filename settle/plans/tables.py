@@ -5,7 +5,8 @@ whatever follows reads the result. Tables live below one shared folder.
 
 Report tables expected there: `p315` (D0276), `p315_p277` (D0277), `p114_c0421`
 and `p114_s01421`; also `holidays`, and for the unit dictionary the landed
-`unit_payloads`, `unit_parties`, `unit_names` and `stations`.
+`unit_payloads`, `unit_parties`, `unit_names` (XML payloads all three) and
+`stations`.
 """
 
 from __future__ import annotations
@@ -17,23 +18,27 @@ from pyspark.sql import DataFrame, SparkSession
 from settle.operators import measures
 from settle.plans import c042, d276, d277, embedded, gross, levies, s014, units
 from settle.session import configure
-from settle.sources import files
+from settle.sources import files, xml
 from settle.sources.holidays import working_calendar
 from settle.sources.tables import scan_table, sink_table
 
 
 @dataclass
 class Store:
-    """Saved tables below one folder."""
+    """Saved tables below one folder, or in a catalog schema where no folder is given."""
 
     spark: SparkSession
-    folder: str
+    folder: str | None = None
+    schema: str = "default"
+
+    def place(self, name: str) -> str:
+        return f"{self.folder}/{name}" if self.folder else f"{self.schema}.{name}"
 
     def read(self, name: str) -> DataFrame:
-        return scan_table(self.spark, f"{self.folder}/{name}")
+        return scan_table(self.spark, self.place(name))
 
     def save(self, df: DataFrame, name: str, by: str | None = None) -> None:
-        sink_table(df, f"{self.folder}/{name}", "overwrite", [by] if by else None)
+        sink_table(df, self.place(name), "overwrite", [by] if by else None)
 
 
 def market_tables(store: Store, landed: dict[str, str]) -> None:
@@ -48,8 +53,10 @@ def market_tables(store: Store, landed: dict[str, str]) -> None:
 def unit_tables(store: Store, bm_units_folder: str) -> None:
     """Registered units, the dictionary from payloads, and the merged dictionary."""
     store.save(files.load_bm_units(store.spark, bm_units_folder), "bm_units")
-    sources = [store.read(n) for n in ("unit_payloads", "unit_parties", "unit_names", "stations")]
-    store.save(units.source_dictionary(*sources), "source_dictionary")
+    parties = xml.parse_party_list(store.read("unit_parties"))
+    names = xml.parse_unit_list(store.read("unit_names"))
+    made = units.source_dictionary(store.read("unit_payloads"), parties, names, store.read("stations"))
+    store.save(made, "source_dictionary")
     merged = units.unit_dictionary(store.read("source_dictionary"), store.read("bm_units"))
     store.save(merged, "bmu_dictionary")
 
@@ -83,9 +90,11 @@ def output_tables(store: Store) -> None:
         store.save(both, f"p315_{kind}", "date" if kind.startswith("hh") else None)
     gross_hh = gross.gross_demand(store.read("p315_hh"), store.read("p114_big_demand_lr"))
     store.save(gross_hh, "gross_demand_hh", "date")
-    store.save(gross.gross_daily(store.read("gross_demand_hh")), "gross_demand_daily")
+    daily = gross.gross_daily(store.read("p315_hh"), store.read("p114_big_demand_lr"))
+    store.save(daily, "gross_demand_daily")
     calendar = working_calendar(store.read("holidays"))
-    store.save(levies.cap_mech(store.read("gross_demand_hh"), calendar), "cfd_capmech")
+    dates = store.read("p315_hh").select("date")
+    store.save(levies.cap_mech(store.read("gross_demand_hh"), calendar, dates), "cfd_capmech")
     sides = [store.read(n) for n in ("d276_hh_all_runs", "d277_hh_all_runs", "p114_big_demand_all")]
     store.save(levies.ro_fit(*sides), "ro_fit")
     generation = embedded.embedded_generation(

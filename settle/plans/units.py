@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import lookup
-from settle.functions.text import player
+from settle.functions.text import any_date, player
 from settle.operators.runs import last_version
 from settle.sources.codes import (
     CLASS_FLAGS, DICTIONARY_COLUMNS, FLAG_PLAYERS, NOTIFY_PLAYERS, UNIT_CATEGORY,
@@ -42,7 +42,8 @@ def known_types(means: DataFrame) -> DataFrame:
 def unit_sources(means: DataFrame) -> DataFrame:
     """One row a unit: its types, its class flags and its mean capacities.
 
-    A capacity is the mean over all payload types that list the unit. One
+    A capacity is the mean over all payload types that list the unit. Of
+    several types that one source gives a unit, the last by code counts. One
     aggregate does the work of a join per source.
     """
     types = [
@@ -73,19 +74,23 @@ def unit_status(df: DataFrame) -> DataFrame:
 def source_dictionary(
     payloads: DataFrame, parties: DataFrame, names: DataFrame, stations: DataFrame
 ) -> DataFrame:
-    """Unit dictionary from the payloads, party list and name list."""
+    """Unit dictionary from the capacity payloads, party list and list of units.
+
+    An effective-to date is open where the text is missing; a date in no known
+    form fails the job.
+    """
     sources = unit_sources(known_types(capacity_means(parse_unit_xml(payloads))))
     base = parties.select(
         F.col("bmunit").alias("bmu_id"),
         F.col("bscparty").alias("bsc_party"),
-        F.col("effectivefromdate").try_cast("date").alias("effective_from_date"),
-        F.col("effectivetodate").try_cast("date").alias("effective_to_date"),
+        any_date("effectivefromdate").alias("effective_from_date"),
+        any_date("effectivetodate").alias("effective_to_date"),
     )
-    records = names.groupBy(F.col("bmunitid").alias("bmu_id")).agg(
-        F.max("name").alias("enapp_name"),
-        F.max("fueltype").alias("enapp_class"),
-        F.max("ngcbmunitid").alias("ngc_bmu_id"),
+    # A unit listed twice keeps one of its records whole: the last by name.
+    record = F.struct(
+        F.col("name").alias("enapp_name"), F.col("fueltype").alias("enapp_class"), F.col("ngcbmunitid").alias("ngc_bmu_id")
     )
+    records = names.groupBy(F.col("bmunitid").alias("bmu_id")).agg(F.max(record).alias("record")).select("bmu_id", "record.*")
     joined = base.join(sources, "bmu_id", "left").join(records, "bmu_id", "left")
     named = with_station_names(with_type_names(joined), stations)
     return last_version(unit_status(named)).select(*DICTIONARY_COLUMNS)

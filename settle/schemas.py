@@ -1,7 +1,5 @@
 """Input schemas as DDL text, applied on read."""
 
-from settle.sources.codes import BM_UNIT_COLUMNS
-
 
 def _schema(**fields: str) -> str:
     return ", ".join(f"`{n}` {t}" for n, t in fields.items())
@@ -32,8 +30,6 @@ PC_FILE = _schema(
     SETTLEMENT_DATE="string", **{c.upper(): "double" for c in PERIOD_COLUMNS},
 )
 
-BM_UNITS_FILE = _schema(**{c: "string" for c in BM_UNIT_COLUMNS})
-
 # One payload: units of a type on a day, with capacities by settlement period.
 UNIT_PAYLOAD = (
     "settlementdate struct<_settlementdate: string, bmunit: array<struct<"

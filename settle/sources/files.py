@@ -1,13 +1,19 @@
-"""Loaders of reference data landed as files."""
+"""Loaders of reference data landed as files.
+
+Columns are found by their names in each file's own header, so files may add
+columns or order them otherwise. A file that lacks a column, or a date in no
+known form, fails the load.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from settle import schemas
 from settle.functions.flags import lookup
-from settle.functions.text import day_first_date, plain_name
+from settle.functions.text import any_date, plain_name
 from settle.sources.codes import BM_UNIT_COLUMNS, ZONE_AREA
 
 LLF_COLUMNS = [
@@ -16,17 +22,55 @@ LLF_COLUMNS = [
     "start_settlement_period", "end_settlement_period",
 ]
 
+# Lines above the header in the published list of units.
+PREAMBLE = 2
 
-def scan_csv_many(spark: SparkSession, folder: str, schema: str, header=True) -> DataFrame:
-    """All CSV files below a folder as one table with plain lower-case names."""
-    reader = (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-    )
-    df = reader.csv(folder)
-    return df.toDF(*[plain_name(c) for c in df.columns])
+
+def header_names(line: str, wanted: list[str], where: str) -> list[str]:
+    """Plain names of a header line; all wanted ones must be among them, each once."""
+    def key(name: str) -> str:
+        return plain_name(name).strip("_")
+
+    names = [key(name.strip('"\ufeff')) for name in line.rstrip("\r").split(",")]
+    known = {key(name): name for name in wanted}
+    missing = [name for plain, name in known.items() if names.count(plain) != 1]
+    if missing:
+        raise ValueError(f"{where}: header must have once each of {missing}")
+    # Other columns are not used; distinct names keep them apart.
+    return [known.get(name, f"_other_{i}") for i, name in enumerate(names)]
+
+
+def scan_csv_many(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The columns of a schema from all CSV files below a folder, with plain lower-case names.
+
+    Files with the same header are read together. Usually all have the same, and
+    then this is one scan. Text that is not a number becomes null.
+    """
+    def read():
+        return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+
+    fields = StructType.fromDDL(schema).fields
+    wanted = [plain_name(field.name) for field in fields]
+    lines = read().text(folder).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")
+    ).where("_metadata.file_block_start = 0")
+    first = lines.groupBy("file").agg(F.min(F.struct("line", "value")).alias("top"))
+    layouts = first.groupBy("top.value").agg(F.collect_list("file").alias("files")).collect()
+    parts = []
+    for header, paths in layouts:
+        names = header_names(header, wanted, paths[0])
+        text = ", ".join(f"`{name}` string" for name in names)
+        source = folder if len(layouts) == 1 else paths
+        rows = read().schema(text).option("header", True).csv(source)
+        parts.append(rows.select(*[
+            F.col(name).try_cast(field.dataType).alias(name) for name, field in zip(wanted, fields, strict=True)
+        ]))
+    if not parts:
+        raise ValueError(f"{folder}: no CSV file with a header")
+    made = parts[0]
+    for part in parts[1:]:
+        made = made.unionByName(part)
+    return made
 
 
 def load_tlm(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,7 +78,7 @@ def load_tlm(spark: SparkSession, folder: str) -> DataFrame:
     df = scan_csv_many(spark, folder, schemas.TLM_FILE)
     delivering = F.when(F.col("delivering") == 0, 1.0).otherwise(F.col("delivering"))
     return df.select(
-        day_first_date("settlement_date").alias("settlement_date"),
+        any_date("settlement_date").alias("settlement_date"),
         "settlement_run_type", "settlement_period", "off_taking",
         delivering.alias("delivering"),
         lookup(ZONE_AREA, F.col("zone")).alias("gsp_area"),
@@ -46,7 +90,7 @@ def load_gcf(spark: SparkSession, folder: str) -> DataFrame:
     df = scan_csv_many(spark, folder, schemas.GCF_FILE)
     return df.select(
         F.col("gsp_group_id").alias("gsp_area"),
-        F.try_to_date("settlement_date").alias("settlement_date"),
+        any_date("settlement_date").alias("settlement_date"),
         F.col("ssr_run_type").alias("run_type"),
         F.col("settlement_period").cast("int").alias("settlement_period"),
         F.col("gsp_group_correction_factor").alias("gcf"),
@@ -56,24 +100,36 @@ def load_gcf(spark: SparkSession, folder: str) -> DataFrame:
 def load_llf(spark: SparkSession, folder: str) -> DataFrame:
     """Line-loss factors: complete rows, each once."""
     df = scan_csv_many(spark, folder, schemas.LLF_FILE)
-    dates = {c: day_first_date(c) for c in ("start_settlement_date", "end_settlement_date")}
+    dates = {c: any_date(c) for c in ("start_settlement_date", "end_settlement_date")}
     return df.withColumns(dates).select(*LLF_COLUMNS).na.drop().dropDuplicates()
 
 
 def load_pc(spark: SparkSession, folder: str) -> DataFrame:
     """Profile coefficients, wide: one column for each period."""
     df = scan_csv_many(spark, folder, schemas.PC_FILE)
-    return df.withColumn("settlement_date", F.try_to_date("settlement_date"))
+    return df.withColumn("settlement_date", any_date("settlement_date"))
 
 
 def load_bm_units(spark: SparkSession, folder: str) -> DataFrame:
     """Registered units: 28 text columns below two lines of preamble and a header.
 
-    Files are read in parallel, so line numbers are not known: the preamble is
-    told by having one field only, the header by its column names.
+    The list is published as one small file, so each file is read whole and its
+    lines are counted.
     """
-    df = scan_csv_many(spark, folder, schemas.BM_UNITS_FILE, header=False)
-    df = df.toDF(*BM_UNIT_COLUMNS)
-    heading = F.lower(F.replace(F.trim("bm_unit_id"), F.lit(" "), F.lit("_"))) == "bm_unit_id"
-    single = F.coalesce(*BM_UNIT_COLUMNS[1:]).isNull()
-    return df.where(F.col("bm_unit_id").isNotNull() & ~heading & ~single)
+    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    lines = files.select(F.split("value", r"\r?\n").alias("lines")).where(F.size("lines") > PREAMBLE)
+    split = lines.select(
+        F.col("lines")[PREAMBLE].alias("header"), F.explode(F.slice("lines", PREAMBLE + 2, 2**31 - 1)).alias("line")
+    ).where(F.trim("line") != "")
+    parts = []
+    for row in lines.select(F.col("lines")[PREAMBLE].alias("header")).distinct().collect():
+        names = header_names(row.header, BM_UNIT_COLUMNS, folder)
+        text = ", ".join(f"`{name}` string" for name in names)
+        fields = F.from_csv("line", text).alias("unit")
+        parts.append(split.where(F.col("header") == row.header).select(fields).select(*[f"unit.`{c}`" for c in BM_UNIT_COLUMNS]))
+    if not parts:
+        raise ValueError(f"{folder}: no list of units")
+    made = parts[0]
+    for part in parts[1:]:
+        made = made.unionByName(part)
+    return made.where(F.col("bm_unit_id").isNotNull())

@@ -1,4 +1,4 @@
-"""Unit payloads in XML."""
+"""Unit payloads in XML: capacities, the party list and the list of units."""
 
 from __future__ import annotations
 
@@ -30,3 +30,22 @@ def parse_unit_xml(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.col("_period._gc").alias("gc"),
         F.col("_period._dc").alias("dc"),
     )
+
+
+def _parse_list(df: DataFrame, payload: str, element: str, attributes: list[str]) -> DataFrame:
+    """One row for each element of a payload, its attributes as text columns."""
+    fields = ", ".join(f"_{a}: string" for a in attributes)
+    listed = F.from_xml(payload, f"{element} array<struct<{fields}>>", {"mode": "PERMISSIVE"})
+    each = df.select(F.explode(listed[element]).alias("_item"))
+    return each.select(*[F.col(f"_item._{a}").alias(a) for a in attributes])
+
+
+def parse_party_list(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Party and period of validity of each unit version."""
+    columns = ["bmunit", "bscparty", "effectivefromdate", "effectivetodate"]
+    return _parse_list(df, payload, "bmunitforbscparty", columns)
+
+
+def parse_unit_list(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Name, fuel type and grid id of each unit."""
+    return _parse_list(df, payload, "bmunit", ["bmunitid", "name", "fueltype", "ngcbmunitid"])

@@ -53,7 +53,7 @@ def test_no_broadcast_is_hinted_for_a_large_side(spark, no_broadcast):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    t = Inputs(spark, FOLDER)
+    t = Inputs(spark, FOLDER, landed=True)
     text = explained(d276.demand_all_runs(t.raw_d276, t.tlm_rows))
     assert "In(hdr, [DF,RF,SF])" in text and "GreaterThan(ccc,8)" in text
     # The loss multiplier file is read without the columns that are not used.

@@ -2,18 +2,17 @@
 
 from settle.checks import q_sources
 from settle.checks.registry import Inputs
-from settle.checks.inputs import gross_demand, land_csv
-from settle.plans import gross, tables
+from settle.checks.inputs import gross_daily, land_csv
+from settle.plans import tables
 from settle.session import fresh_path
-from settle.sources.codes import BM_UNIT_COLUMNS
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
 
 TABLES = {
     "p315": "raw_d276", "p315_p277": "raw_d277", "p114_c0421": "raw_c042", "p114_s01421": "raw_s014",
-    "holidays": "raw_holiday", "unit_payloads": "raw_unit_xml", "unit_parties": "raw_party",
-    "unit_names": "raw_unit_names", "stations": "raw_station",
+    "holidays": "raw_holiday", "unit_payloads": "raw_unit_xml", "unit_parties": "raw_party_xml",
+    "unit_names": "raw_names_xml", "stations": "raw_station",
 }
 
 
@@ -22,15 +21,11 @@ def test_all_tables_from_landed_files(spark):
     folder = fresh_path(spark, "tables")
     for name, view in TABLES.items():
         getattr(t, view).write.parquet(f"{folder}/{name}")
-    listed = t.raw_bm_units
-    padded = listed.select(*[
-        F.col(c) if c in listed.columns else F.lit("-").alias(c) for c in BM_UNIT_COLUMNS
-    ])
     pc = t.raw_pc
     landed = {
         "tlm": q_sources.land_tlm(t), "gcf": q_sources.land_gcf(t), "llf": q_sources.land_llf(t),
         "pc": land_csv(pc.toDF(*[c.upper() for c in pc.columns]), "pc"),
-        "bm_units": land_csv(padded, "bmunits", header=False),
+        "bm_units": q_sources.land_units(t),
     }
     tables.run(spark, folder, landed)
     store = tables.Store(spark, folder)
@@ -43,5 +38,5 @@ def test_all_tables_from_landed_files(spark):
     keys = ["date", "gsp_area", "aggregation_type", "description"]
     total = F.round(F.sum("total_corrected_consumption_gwh"), 6).alias("x")
     saved = store.read("gross_demand_daily").where("gsp_area <> 'T-connected'").groupBy(*keys).agg(total)
-    direct = gross.gross_daily(gross_demand(t)).where("gsp_area <> 'T-connected'").groupBy(*keys).agg(total)
+    direct = gross_daily(t).where("gsp_area <> 'T-connected'").groupBy(*keys).agg(total)
     assert {tuple(r) for r in saved.collect()} == {tuple(r) for r in direct.collect()}
