@@ -29,12 +29,18 @@ _filed = TEXT_DAY.format(
 _area = AREA.format(z="l_suppkey % 14")
 _unit = UNIT.format(k="l_suppkey")
 _supplier_unit = UNIT.format(k="s_suppkey")
-# Profiled rows fall on six days: clock change, a Sunday, a holiday, both years.
-_profiled = "CAST((l_orderkey % 6) * 4 AS INT)"
+# Profiled rows fall on six days of four weeks: clock change, a Sunday, a holiday,
+# both years. With more orders there are more such weeks.
+_profiled = "CAST((l_orderkey % 6) * 4 + 28 * floor(l_orderkey / 200000) AS INT)"
+# Days and areas of all reports, as the reference factors have them.
+_DAYS_AREAS = f"""(SELECT DISTINCT CAST(l_orderkey % 21 AS INT) AS i, l_suppkey % 14 AS z FROM lineitem
+  UNION SELECT DISTINCT {_profiled}, l_suppkey % 14 FROM lineitem) AS g"""
+# Loss classes: four, and four more with every 5,000 parts.
+_loss_class = "CAST(l_partkey % 4 + 4 * floor(l_partkey / 5000) AS INT)"
 _profiled_day = f"(DATE '2020-03-25' + {_profiled})"
 _profiled_zpd = TEXT_DAY.format(d=_profiled_day)
 _profiled_filed = TEXT_DAY.format(
-    d="(DATE '2020-03-25' + CAST((l_orderkey % 6) * 4 + l_linenumber * 30 AS INT))"
+    d=f"(DATE '2020-03-25' + CAST({_profiled} + l_linenumber * 30 AS INT))"
 )
 _i_day = "(DATE '2020-03-25' + CAST(i AS INT))"
 
@@ -63,7 +69,7 @@ FROM readings""",
     "raw_d277": f"""
 SELECT {_profiled_zpd} AS zpd, {_profiled_filed} || '_P0277' AS pool, {RUN} AS hdr, {_area} AS gsp,
   CAST(l_partkey % 9 + 1 AS STRING) AS a, 'S' || CAST(l_suppkey % 3 AS STRING) AS b,
-  CAST(100 + l_partkey % 4 AS STRING) AS c, 'DNO' || CAST(l_suppkey % 2 AS STRING) AS d,
+  CAST(100 + {_loss_class} AS STRING) AS c, 'DNO' || CAST(l_suppkey % 2 AS STRING) AS d,
   CAST(l_orderkey % 2 + 1 AS STRING) AS e,
   CASE WHEN l_tax = 0.08 AND l_discount = 0 THEN 'n/a' ELSE CAST(l_extendedprice AS STRING) END AS f,
   CAST(l_quantity AS STRING) AS g,
@@ -78,7 +84,7 @@ SELECT {_i_day} AS settlement_date,
   CAST(sp AS INT) AS settlement_period, CAST(z + 1 AS INT) AS zone,
   0.98e0 - k / 1e2 + ((i * 7 + sp * 3 + z * 5) % 11) / 1e3 AS off_taking,
   CASE WHEN (i + sp + z) % 13 = 0 THEN 0e0 ELSE 1.01e0 END AS delivering
-FROM (SELECT DISTINCT l_orderkey % 21 AS i, l_suppkey % 14 AS z FROM lineitem) AS g
+FROM {_DAYS_AREAS}
 CROSS JOIN range(1, 49) AS s(sp) CROSS JOIN (VALUES (0), (1)) AS r(k)
 WHERE NOT (i = 4 AND sp > 46)""",
     "tlm_rows": f"""
@@ -89,7 +95,7 @@ FROM raw_tlm""",
     "raw_gcf": f"""
 SELECT {AREA.format(z="z")} AS gsp_area, {_i_day} AS settlement_date, 'SF' AS run_type,
   CAST(sp AS INT) AS settlement_period, 0.95e0 + ((i + sp + z) % 10) / 1e2 AS gcf
-FROM (SELECT DISTINCT l_orderkey % 21 AS i, l_suppkey % 14 AS z FROM lineitem) AS g
+FROM {_DAYS_AREAS}
 CROSS JOIN range(1, 49) AS s(sp)
 WHERE NOT (i = 4 AND sp > 46)""",
     "raw_pc": f"""
@@ -100,14 +106,14 @@ SELECT CAST(p AS STRING) AS profile_class_id, {AREA.format(z="z")} AS gsp_group_
 FROM (SELECT DISTINCT {_profiled} AS i, l_suppkey % 14 AS z, l_partkey % 9 + 1 AS p,
   l_suppkey % 3 AS x, l_orderkey % 2 + 1 AS t FROM lineitem) AS g
 WHERE p < 9""",
-    "raw_llf": """
+    "raw_llf": f"""
 SELECT 'DNO' || CAST(n AS STRING) AS market_participant_id, CAST(100 + c AS STRING) AS llf_class_id,
   (DATE '2020-03-25' + CAST(w * 7 AS INT)) AS start_settlement_date,
   (DATE '2020-03-25' + CAST(w * 7 + 6 AS INT)) AS end_settlement_date,
   CASE WHEN y = 0 THEN 'WD' ELSE 'NWD' END AS day_type, 1.02e0 + (n + c + w + y + b) / 1e2 AS value,
   CAST(b * 24 + 1 AS BIGINT) AS start_settlement_period, CAST(b * 24 + 24 AS BIGINT) AS end_settlement_period
-FROM (SELECT DISTINCT l_suppkey % 2 AS n, l_partkey % 4 AS c, CAST(floor((l_orderkey % 21) / 7) AS INT) AS w
-  FROM lineitem) AS g
+FROM (SELECT DISTINCT l_suppkey % 2 AS n, {_loss_class} AS c FROM lineitem) AS g
+CROSS JOIN (SELECT DISTINCT CAST(floor(i / 7) AS INT) AS w FROM {_DAYS_AREAS}) AS k
 CROSS JOIN (VALUES (0), (1)) AS d(y) CROSS JOIN (VALUES (0), (1)) AS h(b)""",
     "raw_holiday": f"""
 SELECT DISTINCT day AS holiday_date, label FROM (SELECT {DAY.format(key="o_orderkey")} AS day FROM orders) AS o

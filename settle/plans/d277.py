@@ -19,9 +19,6 @@ from settle.sources.codes import PROFILE_SECTOR
 
 MEASURES = list("fghijklm")
 
-# Profile rows carry 50 pairs of numbers, under 2.5 kB: five narrow rows each.
-PROFILE_WIDTH = 5
-
 REPORT_KEYS = [
     "date", "file_date", "settlement_run", "gsp_area", "profile_class",
     "configuration", "regime", "loss_class", "distributor",
@@ -80,7 +77,7 @@ def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame, calendar: DataFram
 def half_hours(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
     """Complete rows spread over the periods that have all factors."""
     # Factors are unique by date and area, so a coefficient row stays one row.
-    shares = bounded(day_shares(tlm, gcf, pc, calendar), PROFILE_WIDTH, within=pc)
+    shares = bounded(day_shares(tlm, gcf, pc, calendar), within=pc)
     bands = bounded(factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date")))
     joined = rows.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
     return factors.expand_periods(factors.join_loss_bands(joined, bands))

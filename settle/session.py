@@ -11,9 +11,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side, in rows of up to 500 bytes, that is sent whole to every executor:
-# 250 MB. A session may set `settle.broadcastRows` to another number.
-BROADCAST_ROWS = 500_000
+# What all sides that a flow sends whole to every executor may have together. A
+# flow has SIDES of them at most, and each may have its part. A session may set
+# `settle.broadcastBytes` to another total.
+BROADCAST_BYTES = 256 << 20
+SIDES = 8
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,17 +77,20 @@ def once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded(df: DataFrame, width: int = 1, within: DataFrame | None = None) -> DataFrame:
-    """Offer a join side for broadcast if, once counted, it is small.
+def size_of(df: DataFrame) -> int:
+    """Bytes of all rows, written out as text."""
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
-    The side is computed once into the checkpoint folder and counted there. If
-    it cannot have more rows than a stored table, that table is passed as
-    `within`: its count comes from file footers and nothing is computed ahead.
-    A larger side is returned without a hint: the join then shuffles both sides
-    and adaptive execution splits hot keys. `width` is the row size in units of
-    500 bytes.
+
+def bounded(df: DataFrame, within: DataFrame | None = None) -> DataFrame:
+    """Offer a join side for broadcast if its measured size is small.
+
+    The side is computed once into the checkpoint folder and measured there. If
+    it cannot outgrow a stored table, that table is passed as `within` and
+    measured instead, and the side stays a plan. A larger side is returned
+    without a hint: the join then shuffles both sides and adaptive execution
+    splits hot keys.
     """
-    limit = int(df.sparkSession.conf.get("settle.broadcastRows", str(BROADCAST_ROWS)))
+    limit = int(df.sparkSession.conf.get("settle.broadcastBytes", str(BROADCAST_BYTES))) // SIDES
     side = once(df) if within is None else df
-    counted = side if within is None else within
-    return F.broadcast(side) if counted.count() * width <= limit else side
+    return F.broadcast(side) if size_of(side if within is None else within) <= limit else side

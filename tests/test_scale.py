@@ -9,7 +9,7 @@ from settle.checks.registry import Inputs
 from settle.functions.flags import run_rank
 from settle.operators import runs
 from settle.plans import d276, s014
-from settle.session import bounded
+from settle.session import SIDES, bounded, size_of
 from settle.sources.tables import scan_table, sink_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -30,11 +30,11 @@ def no_broadcast(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("settle.broadcastRows", "0")
+    spark.conf.set("settle.broadcastBytes", "0")
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    spark.conf.unset("settle.broadcastRows")
+    spark.conf.unset("settle.broadcastBytes")
 
 
 @pytest.mark.parametrize(
@@ -42,7 +42,7 @@ def no_broadcast(spark):
 )
 def test_same_rows_without_broadcasts(spark, no_broadcast, name):
     shuffled = spark_rows(spark, FOLDER, name)
-    spark.conf.set("settle.broadcastRows", "500000")
+    spark.conf.unset("settle.broadcastBytes")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
     assert shuffled == spark_rows(spark, FOLDER, name)
 
@@ -52,6 +52,23 @@ def test_no_broadcast_is_hinted_for_a_large_side(spark, no_broadcast):
     assert "BroadcastHashJoin" not in plan(rows.join(bounded(spark.range(10)), "id"))
 
 
+def test_sides_are_measured_in_bytes(spark):
+    """Few rows may be wide; a side is offered up to its part of the limit."""
+    rows = spark.range(100)
+    wide = spark.range(10).withColumn("text", F.repeat(F.lit("x"), 1_000_000))
+    assert 10_000_000 < size_of(wide) < 10_000_400
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for limit, offered in ((9_000_000, False), (11_000_000, True)):
+            spark.conf.set("settle.broadcastBytes", str(limit * SIDES))
+            text = plan(rows.join(bounded(wide, within=wide), "id"))
+            assert ("BroadcastHashJoin" in text) == offered
+    finally:
+        spark.conf.unset("settle.broadcastBytes")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     t = Inputs(spark, FOLDER, landed=True)
     text = explained(d276.demand_all_runs(t.raw_d276, t.tlm_rows))
