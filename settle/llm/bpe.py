@@ -1,9 +1,15 @@
 """Byte-level BPE: every distinct word of the corpus is encoded once.
 
-Texts are split into pre-tokens, whose order within a document is kept as
-numbers. The distinct words go through one global shuffle, are encoded once
-each, and their ids return to the documents, which are put together by
-position. Decoding looks every id up in the token-byte table.
+Texts are cut into words, whose order within a document is kept as numbers. The
+distinct words go through one global shuffle, are encoded once each, and their
+ids return to the documents, which are put together by position. Decoding looks
+every id up in the token-byte table.
+
+A word is a stretch of text from a space that no white space follows to the
+next such space. The split pattern always starts a match at such a space, so
+the matches of a text are those of its words one after the other. This holds
+for patterns that allow white space in front of a match only, or in matches of
+nothing else; an encoder with another kind of pattern must not be used here.
 
 Exploding every occurrence would move each word of the corpus twice. Instead a
 block (consecutive documents of one task, of bounded size) lists each of its
@@ -11,7 +17,7 @@ distinct words once, in buckets by a hash of the word; occurrences are numbers
 into that list. A word that makes up any share of the corpus is thus one entry
 for each block, and a bucket holds about the same number of words as any other.
 
-The documents are split twice, once for the words and once for the positions;
+The documents are read twice, once for the words and once for the positions;
 that is cheaper than storing either. Both passes must see the same rows in the
 same tasks, which holds for stored tables; a checksum of the block's words
 stops the job if they ever differ.
@@ -22,6 +28,7 @@ Null texts are empty and have no ids. Repeated rows are encoded one by one.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cached_property
@@ -29,7 +36,6 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -38,63 +44,82 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 
 BLOCK_CHARS = 24_000_000
 BUCKETS_PER_PARTITION = 4
+TEXTS_AT_ONCE = 500
+
+
+CUT = re.compile(r" (?=\S)")
 
 
 class Numbers(dict):
     """Numbers words in the order of their first occurrence."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | tuple[str]) -> int:
         number = self[word] = len(self)
         return number
 
-
-def packed(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**28 as groups of 7 bits, low ones first; the top bit says that more follow."""
-    size = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14) + (numbers >= 1 << 21)
-    at = np.cumsum(size) - size
-    out = np.zeros(int(size.sum()), dtype=np.uint8)
-    for i in range(4):
-        some = size > i
-        group = (numbers[some] >> (7 * i)) & 127
-        out[at[some] + i] = group | np.where(size[some] > i + 1, 128, 0)
-    return out.tobytes()
-
-
-def unpacked(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+    def of_text(self, text: str) -> np.ndarray:
+        """Numbers of the words of a text; only the first one may lack its space and is a tuple here."""
+        pieces: list = CUT.split(text)
+        if pieces[0]:
+            pieces[0] = (pieces[0],)
+        else:
+            del pieces[0]
+        return np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def words(self) -> list[bytes]:
+        spelled = (word[0] if type(word) is tuple else " " + word for word in self)
+        return [word.encode("utf-8", "surrogatepass") for word in spelled]
+
+
+def packed(numbers: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """The numbers between bounds as bytes: groups of 7 bits, low ones first; the top bit says that more follow."""
+    size = 1 + (numbers >= 1 << 7) + (numbers >= 1 << 14) + (numbers >= 1 << 21) + (numbers >= 1 << 28)
+    at = np.concatenate([[0], np.cumsum(size)])
+    out = np.zeros(int(at[-1]), dtype=np.uint8)
+    for i in range(5):
+        some = np.flatnonzero(size > i)
+        out[at[some] + i] = (numbers[some] >> (7 * i)) & 127 | np.where(size[some] > i + 1, 128, 0)
+    data, cuts = out.tobytes(), at[bounds].tolist()
+    return [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def unpacked(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all parts, and the bounds of the parts among them."""
+    raw = np.frombuffer(b"".join(parts), dtype=np.uint8)
     ends = np.flatnonzero(raw < 128)
     starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-    numbers = np.zeros(len(ends), dtype=np.int64)
-    for i in range(4):
-        some = starts + i <= ends
-        numbers[some] |= (raw[starts[some] + i] & 127) << (7 * i)
-    return numbers
+    numbers = (raw[starts] & 127).astype(np.int64)
+    for i in range(1, 5):
+        some = np.flatnonzero(starts + i <= ends)
+        if not len(some):
+            break
+        numbers[some] |= (raw[starts[some] + i] & 127).astype(np.int64) << (7 * i)
+    return numbers, np.searchsorted(ends, np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], pattern: str) -> Iterator[tuple[str, list[str], int, list, list]]:
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], int, list[bytes], list]]:
     """Blocks of a task's documents: name, distinct words, their checksum, packed numbers by text, kept columns."""
-    split = regex.compile(pattern).findall
     task = TaskContext.get().partitionId()
     numbers, sequences, kept, size, count = Numbers(), [], [], 0, 0
 
     def done():
-        words = list(numbers)
-        check = zlib.crc32("\n".join(words).encode("utf-8", "surrogatepass"))
+        words = numbers.words()
+        check = 0
+        for word in words:
+            check = zlib.crc32(word, check)
         return f"{task}-{count}", words, check, sequences, kept
 
     for batch in batches:
         start = 0
-        texts = batch.column(1).to_pylist()
-        for i, text in enumerate(texts):
-            text = text or ""
-            found = map(numbers.__getitem__, split(text))
-            sequences.append(packed(np.fromiter(found, dtype=np.int64)))
-            size += len(text)
+        for i, text in enumerate(batch.column(1).to_pylist()):
+            found = numbers.of_text(text or "")
+            sequences += packed(found, np.array([0, len(found)]))
+            size += len(text or "")
             if size >= BLOCK_CHARS:
                 kept.append(batch.column(0).slice(start, i + 1 - start))
                 yield done()
                 numbers, sequences, kept, size, count, start = Numbers(), [], [], 0, count + 1, i + 1
-        if start < len(texts):
+        if start < batch.num_rows:
             kept.append(batch.column(0).slice(start))
     if sequences:
         yield done()
@@ -123,36 +148,43 @@ class Vocabulary:
         return pa.array(by_id, pa.large_binary())
 
 
-def distinct_words(documents: DataFrame, pattern: str, buckets: int) -> DataFrame:
-    """Distinct words of each block, one row for each bucket."""
+def distinct_words(documents: DataFrame, buckets: int) -> DataFrame:
+    """Distinct words of each block, one row for each bucket: places in the block, lengths, and the words themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, words, check, _, _ in blocks(batches, pattern):
+        for name, words, check, _, _ in blocks(batches):
             if not words:
                 continue
-            bucket = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) % buckets for w in words], dtype=np.int32)
-            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), dtype=np.int32, count=len(words))
+            order = np.argsort(bucket, kind="stable")
             used, first = np.unique(bucket[order], return_index=True)
-            offsets = pa.array(np.append(first, len(words)).astype(np.int32))
-            ordered = pa.array(words, pa.string()).take(pa.array(order))
+            bounds = np.append(first, len(words))
+            spelled = [words[i] for i in order.tolist()]
+            # Places rise within a bucket, so their steps are small.
+            steps = np.diff(order, prepend=0)
+            steps[first] = order[first]
             n = len(used)
             yield pa.RecordBatch.from_arrays([
                 pa.array([name] * n), pa.array([check] * n, pa.int64()), pa.array(used),
-                pa.ListArray.from_arrays(offsets, pa.array(order)), pa.ListArray.from_arrays(offsets, ordered),
-            ], names=["block", "check", "bucket", "places", "words"])
+                pa.array(packed(steps, bounds)),
+                pa.array(packed(np.fromiter(map(len, spelled), dtype=np.int64), bounds)),
+                pa.array([b"".join(spelled[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]),
+            ], names=["block", "check", "bucket", "places", "lengths", "words"])
 
-    return documents.mapInArrow(run, "block string, check bigint, bucket int, places array<int>, words array<string>")
+    return documents.mapInArrow(
+        run, "block string, check bigint, bucket int, places binary, lengths binary, words binary"
+    )
 
 
-def sequences(documents: DataFrame, pattern: str) -> DataFrame:
+def sequences(documents: DataFrame) -> DataFrame:
     """The packed word numbers of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, check, packed_, kept in blocks(batches, pattern):
+        for name, _, check, numbers, kept in blocks(batches):
+            n = len(numbers)
             columns = pa.chunked_array(kept).combine_chunks()
-            n = len(packed_)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * n), pa.array([check] * n, pa.int64()), columns, pa.array(packed_, pa.binary())],
+                [pa.array([name] * n), pa.array([check] * n, pa.int64()), columns, pa.array(numbers, pa.binary())],
                 names=["block", "check", "kept", "numbers"])
 
     schema = (
@@ -168,22 +200,23 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         encode = shared.value.encoding.encode_ordinary
-        lists = table.column("words").combine_chunks()
-        coded = lists.flatten().dictionary_encode()
-        ids = [encode(word) for word in coded.dictionary.to_pylist()]
-        by_word = pa.array(ids, pa.list_(pa.int32()))
-        every = by_word.take(coded.indices)
-        sizes = pc.list_value_length(every)
-        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype(np.int32)
-        ends = np.concatenate([[0], np.cumsum(sizes.to_numpy())])[offsets].astype(np.int32)
+        lengths, bounds = unpacked(table.column("lengths").to_pylist())
+        ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+        spelled = b"".join(table.column("words").to_pylist())
+        every = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, ends.buffers()[1], pa.py_buffer(spelled)])
+        coded = every.dictionary_encode()
+        ids = [encode(word.decode("utf-8", "surrogatepass")) for word in coded.dictionary.to_pylist()]
+        found = pa.array(ids, pa.list_(pa.int32())).take(coded.indices)
+        sizes = pc.list_value_length(found).to_numpy().astype(np.int64)
+        id_bounds = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         return pa.table({
             "block": table.column("block"), "check": table.column("check"), "places": table.column("places"),
-            "sizes": pa.ListArray.from_arrays(pa.array(offsets), sizes),
-            "ids": pa.ListArray.from_arrays(pa.array(ends), every.flatten()),
+            "sizes": pa.array(packed(sizes, bounds), pa.binary()),
+            "ids": pa.array(packed(found.flatten().to_numpy().astype(np.int64), id_bounds), pa.binary()),
         })
 
     return words.groupBy("bucket").applyInArrow(
-        run, "block string, check bigint, places array<int>, sizes array<int>, ids array<int>"
+        run, "block string, check bigint, places binary, sizes binary, ids binary"
     )
 
 
@@ -191,25 +224,29 @@ def reassemble(numbered: DataFrame, coded: DataFrame) -> DataFrame:
     """kept and ids of every document, from its word numbers and the ids of its block's words."""
 
     def run(documents: pa.Table, words: pa.Table) -> pa.Table:
-        kept, numbers = documents.column("kept"), documents.column("numbers").to_pylist()
-        checks = set(documents.column("check").to_pylist()) | set(words.column("check").to_pylist())
-        if len(checks) > 1:
+        numbers = documents.column("numbers").to_pylist()
+        checks = pc.unique(documents.column("check")).to_pylist() + pc.unique(words.column("check")).to_pylist()
+        if len(set(checks)) > 1:
             raise ValueError("the documents changed between the two passes; store them first")
-        places = words.column("places").combine_chunks().flatten().to_numpy()
-        sizes = words.column("sizes").combine_chunks().flatten().to_numpy()
-        ids = words.column("ids").combine_chunks().flatten().to_numpy()
+        steps, bounds = unpacked(words.column("places").to_pylist())
+        places = [np.cumsum(steps[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        places = np.concatenate(places) if places else steps
+        sizes, _ = unpacked(words.column("sizes").to_pylist())
+        ids = unpacked(words.column("ids").to_pylist())[0].astype(np.int32)
         # Start and length of each word's ids, by the word's number in the block.
         starts, lengths = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
         starts[places], lengths[places] = np.cumsum(sizes) - sizes, sizes
-        made = []
-        for data in numbers:
-            sequence = unpacked(data)
+        made, counts = [], []
+        for first in range(0, len(numbers), TEXTS_AT_ONCE):
+            sequence, bounds = unpacked(numbers[first : first + TEXTS_AT_ONCE])
             length = lengths[sequence]
-            begin = np.cumsum(length) - length
-            made.append(ids[np.repeat(starts[sequence] - begin, length) + np.arange(length.sum())].astype(np.int32))
-        offsets = pa.array(np.concatenate([[0], np.cumsum([len(m) for m in made])]).astype(np.int32))
-        flat = np.concatenate(made) if made else np.zeros(0, np.int32)
-        return pa.table({"kept": kept, "ids": pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))})
+            ends = np.concatenate([[0], np.cumsum(length)])
+            made.append(ids[np.repeat(starts[sequence] - ends[:-1], length) + np.arange(ends[-1])])
+            counts.append(np.diff(ends[bounds]))
+        flat = np.concatenate(made) if made else ids[:0]
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+        return pa.table({"kept": documents.column("kept"), "ids": lists})
 
     schema = StructType().add("kept", numbered.schema["kept"].dataType).add("ids", ArrayType(IntegerType()))
     return numbered.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(run, schema)
@@ -220,8 +257,8 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, columns: list[str], ids
     spark: SparkSession = documents.sparkSession
     buckets = BUCKETS_PER_PARTITION * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16)
     source = documents.select(F.struct(*columns).alias("kept"), "text")
-    coded = encode_words(distinct_words(source, vocabulary.pattern, buckets), vocabulary)
-    return reassemble(sequences(source, vocabulary.pattern), coded).select("kept.*", F.col("ids").alias(ids))
+    coded = encode_words(distinct_words(source, buckets), vocabulary)
+    return reassemble(sequences(source), coded).select("kept.*", F.col("ids").alias(ids))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -240,9 +277,11 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded
             # Tokens lie one after the other: a document's bytes run from its first token to its last.
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(lengths)])
-            bounds = np.concatenate([[0], np.cumsum(pc.binary_length(flat).to_numpy())])[ends]
-            data = b"".join(flat.to_pylist())
-            made = pa.array([data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary())
+            _, offsets, data = flat.buffers()
+            bounds = np.frombuffer(offsets, dtype=np.int64)[flat.offset : flat.offset + len(flat) + 1][ends]
+            made = pa.Array.from_buffers(
+                pa.large_binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(bounds)), data or pa.py_buffer(b"")]
+            ).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, decoded])
 
     schema = encoded.select("*").schema.add(decoded, BinaryType())
