@@ -42,14 +42,14 @@ def flag_last_run(df: DataFrame, best: DataFrame, keys: list[str], rank, out="la
     return df.join(best, keys, "left").withColumn(out, flag).drop("_best")
 
 
-def keep_last_run(df: DataFrame, best: DataFrame, keys: list[str], rank) -> DataFrame:
-    """Distinct rows of the latest run only.
+def keep_last_run(df: DataFrame, best: DataFrame, keys: list[str], rank, distinct: bool = False) -> DataFrame:
+    """Rows of the latest run only, each once if `distinct`.
 
     Copies are dropped while the rank is still there: the rows then lie as the
     join left them, and dropping copies moves nothing.
     """
-    ranked = df.withColumn("_best", rank)
-    return ranked.join(best, [*keys, "_best"], "left_semi").dropDuplicates().drop("_best")
+    kept = df.withColumn("_best", rank).join(best, [*keys, "_best"], "left_semi")
+    return (kept.dropDuplicates() if distinct else kept).drop("_best")
 
 
 def flag_last_run_of_totals(df: DataFrame, keys: list[str], ranks: dict) -> DataFrame:

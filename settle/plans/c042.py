@@ -35,7 +35,7 @@ def latest_volumes(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
     rows = parse(raw)
     rank = run_rank("settlementruntype")
     best = runs.latest_rank(rows, runs.UNIT_DIRECTION, rank)
-    last = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank)
+    last = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank, distinct=True)
     current = bounded(units.current_units(dictionary, *units.ATTRIBUTES), within=dictionary)
     return last.join(current, "bmunitid", "left")
 

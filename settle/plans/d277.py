@@ -28,6 +28,10 @@ TOTAL_KEYS = [
     "date", "file_date", "settlement_run", "settlement_period", "gsp_area", "profile_class",
 ]
 
+# Rows of these keys are brought together before they grow into half hours. Their
+# number is bounded by configurations, regimes, loss classes and distributors.
+DAY_KEYS = [key for key in TOTAL_KEYS if key != "settlement_period"]
+
 # Peak follows from the period and sector from the class, so they are no keys.
 KEYS = TOTAL_KEYS + ["peak", "sector"]
 
@@ -65,7 +69,9 @@ def annual_sums(rows: DataFrame) -> DataFrame:
     Normally a row stands alone here; where many rows share the keys, they are
     put together before each grows into 50 periods.
     """
-    return rows.groupBy(*REPORT_KEYS).agg(*measures.sums(*"fghijk"))
+    sums = rows.groupBy(*REPORT_KEYS).agg(*measures.sums(*"fghijk"))
+    # Half-hourly sums are then made where the half hours are, without a shuffle.
+    return sums.repartition(*DAY_KEYS)
 
 
 def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame, calendar: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def last_run_rows(raw: DataFrame) -> DataFrame:
     rows = parse(raw)
     rank = run_rank("settlementruntype")
     best = runs.latest_rank(rows, runs.UNIT_PERIOD, rank)
-    return runs.keep_last_run(rows, best, runs.UNIT_PERIOD, rank)
+    return runs.keep_last_run(rows, best, runs.UNIT_PERIOD, rank, distinct=True)
 
 
 def volumes_last_run(raw: DataFrame, dictionary: DataFrame) -> DataFrame:

@@ -94,7 +94,7 @@ def test_full_rows_move_once_for_the_latest_run(spark):
         rows = c042.parse(Inputs(spark, FOLDER, landed=True).raw_c042)
         rank = run_rank("settlementruntype")
         best = runs.latest_rank(rows, runs.UNIT_DIRECTION, rank)
-        kept = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank)
+        kept = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank, distinct=True)
         text = kept._jdf.queryExecution().executedPlan().toString()
         assert text.count("Exchange hashpartitioning") == 3
     finally:
