@@ -1,10 +1,15 @@
 """Queries over whole flows."""
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from settle.checks import inputs
 from settle.checks.q_joins import C042_SPEC
 from settle.checks.q_totals import ALL_SPEC, CLASS_SPEC, DAY_SPEC, EXPORT_SPEC, HH_SPEC, SCHEME_SPEC
 from settle.checks.registry import query
-from settle.plans import c042, embedded, gross, levies, s014, units
+from settle.operators import measures
+from settle.plans import c042, d276, embedded, gross, levies, s014, units
 from settle.sources.codes import DICTIONARY_COLUMNS
 
 CALENDAR = "fy month-year:t month year ytd fytd"
@@ -65,9 +70,26 @@ def flow_s014_last(t):
     return inputs.s014_last(t)
 
 
-@query("flow_p315", HH_SPEC, "SELECT * FROM p315_hh")
+KINDS = {"hh_all_runs": "p315_all_runs", "hh": "p315_hh", "daily": "p315_daily", "peak": "p315_peak"}
+
+
+@query(
+    "flow_p315",
+    f"kind {ALL_SPEC}",
+    " UNION ALL BY NAME ".join(f"SELECT '{kind}' AS kind, * FROM {step}" for kind, step in KINDS.items()),
+)
 def flow_p315(t):
-    return inputs.p315_hh(t)
+    """All four tables of the flow, each row with the name of its table."""
+    half_hourly, profiled = inputs.d276_all(t), inputs.d277_all(t)
+    latest = d276.last_run(half_hourly), d276.last_run(profiled)
+    tables = {
+        "hh_all_runs": (half_hourly, profiled),
+        "hh": latest,
+        "daily": [measures.day_totals(df) for df in latest],
+        "peak": [measures.peak_totals(df) for df in latest],
+    }
+    named = [gross.p315(*both).withColumn("kind", F.lit(kind)) for kind, both in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
 @query("flow_gross_demand", HH_SPEC, "SELECT * FROM gross_demand_hh")

@@ -35,11 +35,11 @@ def proj_rename(t):
 @query(
     "proj_drop",
     "bmunitid settlementdate:d settlementruntype settlementperiod estimateindicator importexportindicator metervolume",
-    "SELECT * FROM raw_c042",
+    "SELECT * EXCLUDE (player) FROM c042_parsed",
 )
 def proj_drop(t):
-    raw = t.raw_c042.withColumns({c: F.lit("x") for c in c042.UNUSED})
-    return raw.drop(*c042.UNUSED)
+    """Parsed report rows: the columns that only the file transfer needs are gone."""
+    return c042.parse(t.raw_c042).drop("player")
 
 
 @query(

@@ -6,8 +6,11 @@ from settle.checks import inputs
 from settle.checks.q_joins import means
 from settle.checks.q_rows import MEANS
 from settle.checks.registry import query
+from settle.checks.steps import NOT_EXPORT
+from settle.checks.steps import peak as peak_sql
 from settle.operators import measures, ranges
 from settle.plans import c042, d276, d277, embedded, gross, levies
+from settle.sources.codes import EXPORT_CLASSES, IMPORT_CLASSES, IMPORT_RUNS
 from settle.sources.xml import parse_unit_xml
 
 VOLUME_SPEC = " ".join(f"{c}:f" for c in measures.VOLUMES)
@@ -23,14 +26,36 @@ EXPORT_SPEC = (
 )
 
 
-@query("agg_d276_hh", ALL_SPEC, "SELECT * FROM d276_all_runs")
+RAW_SUMS = ", ".join(f"sum({c}) AS {c}" for c in "ahmc") + ", CAST(sum(meters_count) AS BIGINT) AS meters_count"
+RAW_SPEC = " ".join(f"{c}:f" for c in "ahmc") + " meters_count"
+
+
+@query(
+    "agg_d276_hh",
+    "date:d file_date:d settlement_run gsp_area settlement_period aggregation_type description sector actual_estimate"
+    f" peak {RAW_SPEC}",
+    f"""SELECT date, file_date, settlement_run, gsp_area, settlement_period, 'H' AS aggregation_type, description, sector,
+    actual_estimate, {peak_sql('settlement_period')} AS peak, {RAW_SUMS}
+    FROM (SELECT DISTINCT * FROM d276_imports) AS r LEFT JOIN import_classes AS c ON c.ccc = r.ccc GROUP BY ALL""",
+)
 def agg_d276_hh(t):
-    return inputs.d276_all(t)
+    """The sum of the raw rows, before multipliers and flags."""
+    rows = d276.parse(t.raw_d276).where(d276.is_import() & F.col("settlement_run").isin(IMPORT_RUNS))
+    return d276.class_totals(rows, d276.IMPORT_KEYS, IMPORT_CLASSES)
 
 
-@query("agg_d276_exports", EXPORT_SPEC, "SELECT * FROM d276_exports")
+@query(
+    "agg_d276_exports",
+    f"date:d settlement_run gsp_area settlement_period description sector actual_estimate peak ccc {RAW_SPEC}",
+    f"""SELECT date, settlement_run, gsp_area, settlement_period, description, sector, actual_estimate,
+    {peak_sql('settlement_period')} AS peak, r.ccc, {RAW_SUMS}
+    FROM (SELECT DISTINCT * FROM d276_parsed WHERE NOT ({NOT_EXPORT})) AS r
+    LEFT JOIN export_classes AS c ON c.ccc = r.ccc GROUP BY ALL""",
+)
 def agg_d276_exports(t):
-    return inputs.exports(t)
+    """The sum of the raw rows of every run, before the choice of the last."""
+    rows = d276.parse(t.raw_d276).where(d276.is_export())
+    return d276.class_totals(rows, d276.EXPORT_KEYS, EXPORT_CLASSES)
 
 
 @query(

@@ -122,7 +122,8 @@ JOIN (VALUES (DATE '2020-04-10', 'Good Friday'), (DATE '2020-04-13', 'Easter Mon
   (DATE '2020-04-02', 'Founders Day [Northern Ireland]'),
   (DATE '2020-03-26', 'New Year''s Day (substitute) [Scotland]')) AS h(on_day, label) ON day = on_day""",
     "raw_c042": f"""
-SELECT {_unit} AS bmunitid, {_date} AS settlementdate, {RUN} AS settlementruntype,
+SELECT 'C0421' AS dataflowid, CAST(l_suppkey AS STRING) AS cdcarunnumber, CAST(l_shipdate AS STRING) AS dateofaggregation,
+  CAST(l_linenumber AS STRING) AS inserteddate, {_unit} AS bmunitid, {_date} AS settlementdate, {RUN} AS settlementruntype,
   CAST({PERIOD} AS STRING) AS settlementperiod, l_returnflag = 'A' AS estimateindicator,
   CASE WHEN l_linestatus = 'O' THEN 'I' ELSE 'E' END AS importexportindicator,
   CAST(l_quantity AS STRING) AS metervolume
