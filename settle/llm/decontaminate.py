@@ -34,7 +34,7 @@ from settle.llm.common import store
 WINDOW = 13
 DEPTH = 16  # suffixes are sorted by so many words; longer matches follow from chains of windows
 SHARD_BYTES = 6_000_000
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 2_000_000
 PART = 20  # a document is contaminated if at least one in so many words is hit
 
 # Bytes that belong to words: digits, lower-case letters, all of other scripts.
