@@ -101,6 +101,14 @@ def source_units(t) -> DataFrame:
     return units.source_dictionary(t.raw_unit_xml, parties, names, t.raw_station)
 
 
+def fresh_schema(spark) -> str:
+    """A new catalog schema whose tables lie in the work folder."""
+    path = fresh_path(spark, "schema")
+    name = "settle_" + path[-32:]
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{path}'")
+    return name
+
+
 def land_csv(df: DataFrame, name: str, other=None) -> str:
     """Save as CSV files in folders below a fresh one; the path of the upper.
 

@@ -22,8 +22,8 @@ def scan_table(t):
     path, columns = fresh_path(t.spark, "d276") + "/table", ["zpd", "hdr", "gsp", "ccc", "spx", "a"]
     even = F.col("ccc") % 2 == 0
     tables.sink_table(t.raw_d276.where(even), path)
-    tables.sink_table(t.raw_d276.where(~even), "settle_d276_scanned", mode="overwrite")
-    by_name = tables.scan_table(t.spark, "settle_d276_scanned", columns)
+    tables.sink_table(t.raw_d276.where(~even), name := f"{inputs.fresh_schema(t.spark)}.d276")
+    by_name = tables.scan_table(t.spark, name, columns)
     return tables.scan_table(t.spark, path, columns).unionByName(by_name)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from settle.checks.views import VIEWS
 from settle.session import configure, fresh_path
@@ -24,19 +25,26 @@ STEPS: dict[str, str] = dict(VIEWS)
 NUDGE = 1.23456789e-9
 
 
+# Saved views by session, folder, rows of its tables and view: path and schema.
+_LANDED: dict[tuple, tuple[str, StructType]] = {}
+
+
 class Inputs:
-    """The views over one folder of tables, as plans over the given tables.
+    """The views over one folder of tables.
 
-    `landed` saves each view once as a parquet table instead, as flows find
-    their reports in production. A given table may be a single file block; its
-    rows are then spread evenly.
+    Flows start from stored report and factor tables, so each view is saved once
+    as a parquet table in the work folder; a given table may be a single file
+    block, and its rows are spread evenly there. Without `landed` the views are
+    plans over the given tables.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, landed: bool = False):
+    def __init__(self, spark: SparkSession, folder: str, landed: bool = True):
         self.spark = configure(spark)
         self.folder = folder
         self.landed = landed
-        self._views: dict[str, DataFrame] = {}
+        # A view is saved anew when the tables have changed.
+        counts = tuple(self.table(name).count() for name in TABLES) if landed else ()
+        self._state = (spark.sparkContext.applicationId, folder, counts)
 
     def table(self, name: str) -> DataFrame:
         """One of the given tables."""
@@ -45,17 +53,20 @@ class Inputs:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:
             raise AttributeError(name)
-        if name not in self._views:
-            for table in TABLES:
-                self.table(table).createOrReplaceTempView(table)
-            made = self.spark.sql(with_steps(f"SELECT * FROM {name}"))
-            self._views[name] = self._land(made, name) if self.landed else made
-        return self._views[name]
-
-    def _land(self, made: DataFrame, name: str) -> DataFrame:
-        path = fresh_path(self.spark, name)
-        made.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
-        return self.spark.read.schema(made.schema).parquet(path)
+        if not self.landed:
+            return self._plan(name)
+        key = (*self._state, name)
+        if key not in _LANDED:
+            made, path = self._plan(name), fresh_path(self.spark, name)
+            made.repartition(self.spark.sparkContext.defaultParallelism).write.parquet(path)
+            _LANDED[key] = path, made.schema
+        path, schema = _LANDED[key]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def _plan(self, name: str) -> DataFrame:
+        for table in TABLES:
+            self.table(table).createOrReplaceTempView(table)
+        return self.spark.sql(with_steps(f"SELECT * FROM {name}"))
 
 
 def with_steps(select: str, once: bool = False) -> str:

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from settle import session
+from settle.checks.inputs import fresh_schema
 from settle.checks.registry import Inputs
 from settle.operators import runs
 from settle.functions.flags import run_rank
@@ -79,19 +80,18 @@ def test_whole_records_and_closed_units(spark):
 
 
 def test_store_by_catalog_name(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS settle_store")
-    store = Store(spark, schema="settle_store")
+    store = Store(spark, schema=fresh_schema(spark))
     store.save(spark.range(3), "numbers")
     store.save(spark.range(4), "numbers")
     assert store.read("numbers").count() == 4
-    spark.sql("DROP DATABASE settle_store CASCADE")
+    spark.sql(f"DROP DATABASE {store.schema} CASCADE")
 
 
 def test_full_rows_move_once_for_the_latest_run(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = c042.parse(Inputs(spark, FOLDER, landed=True).raw_c042)
+        rows = c042.parse(Inputs(spark, FOLDER).raw_c042)
         rank = run_rank("settlementruntype")
         best = runs.latest_rank(rows, runs.UNIT_DIRECTION, rank)
         kept = runs.keep_last_run(rows, best, runs.UNIT_DIRECTION, rank, distinct=True)
