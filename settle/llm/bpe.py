@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 14_000_000
 BUCKETS_PER_PARTITION = 4
 TEXTS_AT_ONCE = 500
 
@@ -171,6 +171,9 @@ def distinct_words(documents: DataFrame, buckets: int) -> DataFrame:
                 pa.array([b"".join(spelled[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]),
             ], names=["block", "check", "bucket", "places", "lengths", "words"])
 
+            # Workers are reused: what a block took goes back before the next task.
+            pa.default_memory_pool().release_unused()
+
     return documents.mapInArrow(
         run, "block string, check bigint, bucket int, places binary, lengths binary, words binary"
     )
@@ -236,17 +239,14 @@ def reassemble(numbered: DataFrame, coded: DataFrame) -> DataFrame:
         # Start and length of each word's ids, by the word's number in the block.
         starts, lengths = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
         starts[places], lengths[places] = np.cumsum(sizes) - sizes, sizes
-        made, counts = [], []
+        made = [pa.array([], pa.list_(pa.int32()))]
         for first in range(0, len(numbers), TEXTS_AT_ONCE):
             sequence, bounds = unpacked(numbers[first : first + TEXTS_AT_ONCE])
             length = lengths[sequence]
             ends = np.concatenate([[0], np.cumsum(length)])
-            made.append(ids[np.repeat(starts[sequence] - ends[:-1], length) + np.arange(ends[-1])])
-            counts.append(np.diff(ends[bounds]))
-        flat = np.concatenate(made) if made else ids[:0]
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
-        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
-        return pa.table({"kept": documents.column("kept"), "ids": lists})
+            flat = ids[np.repeat(starts[sequence] - ends[:-1], length) + np.arange(ends[-1])]
+            made.append(pa.ListArray.from_arrays(pa.array(ends[bounds].astype(np.int32)), pa.array(flat)))
+        return pa.table({"kept": documents.column("kept"), "ids": pa.chunked_array(made)})
 
     schema = StructType().add("kept", numbered.schema["kept"].dataType).add("ids", ArrayType(IntegerType()))
     return numbered.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(run, schema)

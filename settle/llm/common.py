@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from settle.session import fresh_path
 
 # Characters of text that a task holds in its working arrays at once.
-CHUNK_CHARS = 2_000_000
+CHUNK_CHARS = 500_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
