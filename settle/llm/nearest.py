@@ -10,7 +10,10 @@ by the exact inner product.
 
 The radius is learned from the same sample: it holds the wanted share of the
 sample's own nearest neighbours. Neighbours in the whole table are nearer than
-those in a sample, so recall on the table is higher.
+those in a sample, so recall on the table is higher. A query that finds fewer
+rows than it is due is searched again with twice the radius, until it has them
+or the radius is the code's length, which every row is within. So a query gets
+fewer than `k` rows only where there are fewer.
 
 Equal vectors are one class, indexed once; of its ids the smallest `k + 1` are
 enough for any query. Classes are packed into shards and queries into blocks of
@@ -26,7 +29,8 @@ count once, with the smallest of their vectors. Without vectors the result is em
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -187,41 +191,58 @@ def nearest(table: DataFrame, is_query: Column, k: int, id_column: str, vector_c
     asked = rows.where("asked").select("id", "vector").distinct()
     asked = store(asked.join(found.select("class", "vector"), "vector").select("id", "class"), "query_classes")
     query_classes = store(found.join(asked.select("class").distinct(), "class", "left_semi"), "query_vectors")
-    n_classes, n_queries = found.count(), query_classes.count()
+    n_classes, n_members = found.agg(F.count("*"), F.sum(F.size("ids"))).first()
+    n_queries = query_classes.count()
     if not n_queries:
         return spark.createDataFrame([], RESULT)
     sample = found.select("vector").orderBy(F.xxhash64("class")).limit(SAMPLE).collect()
     codes = learn(np.array([row["vector"] for row in sample]), k)
-    shards, blocks = -(-n_classes // SHARD_ROWS), -(-n_queries // BLOCK_ROWS)
-    width = len(sample[0]["vector"])
+    shards, width = -(-n_classes // SHARD_ROWS), len(sample[0]["vector"])
     shared = spark.sparkContext.broadcast(codes)
 
     def unpack(batch: pa.RecordBatch, key: str, i: int) -> tuple[np.ndarray, np.ndarray]:
         ids = np.frombuffer(batch.column(f"{key}_ids")[i].as_py(), dtype=np.int64)
         return ids, np.frombuffer(batch.column(f"{key}_vectors")[i].as_py()).reshape(-1, width)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                made = search(unpack(batch, "block", i), unpack(batch, "shard", i), shared.value, most)
-                yield pa.RecordBatch.from_arrays([pa.array(m) for m in made], names=["query", "class", "score"])
-
-    every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    grid = packed(query_classes, blocks, "block").select("block_ids", "block_vectors", every_shard)
-    grid = grid.join(packed(found, shards, "shard"), "shard")
-    batch_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row holds a shard and a block
-    try:
-        parts = store(grid.mapInArrow(run, "query bigint, class bigint, score double"), "nearest_parts")
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    def searched(queries: DataFrame, n: int, radius: int) -> DataFrame:
+        """query, class and score of the best `most` classes of every shard within the radius."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            within = replace(shared.value, radius=radius)
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    made = search(unpack(batch, "block", i), unpack(batch, "shard", i), within, most)
+                    yield pa.RecordBatch.from_arrays([pa.array(m) for m in made], names=["query", "class", "score"])
+
+        every_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+        grid = packed(queries, -(-n // BLOCK_ROWS), "block").select("block_ids", "block_vectors", every_shard)
+        grid = grid.join(packed(found, shards, "shard"), "shard")
+        batch_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row holds a shard and a block
+        try:
+            return store(grid.mapInArrow(run, "query bigint, class bigint, score double"), "nearest_parts")
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
 
     def first(df: DataFrame, of: str, tie: str, n: int) -> DataFrame:
         order = Window.partitionBy(of).orderBy(F.desc("score"), tie)
         return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
-    best = first(parts, "query", "class", most).select("query", "class", "score")
-    members = best.join(found.select("class", F.explode("ids").alias("id")), "class").select("query", "id", "score")
-    members = first(members, "query", "id", most).select(F.col("query").alias("class"), F.col("id"), "score")
-    each = asked.withColumnRenamed("id", "query_id").join(members, "class").where("query_id <> id")
+    def members_of(parts: DataFrame) -> DataFrame:
+        best = first(parts, "query", "class", most).select("query", "class", "score")
+        members = best.join(found.select("class", F.explode("ids").alias("id")), "class").select("query", "id", "score")
+        return first(members, "query", "id", most).select(F.col("query").alias("class"), F.col("id"), "score")
+
+    # A query's own row is among its members, unless `most` others are.
+    due, radius, rounds = min(most, n_members), codes.radius, []
+    while n_queries:
+        members = store(members_of(searched(query_classes, n_queries, radius)), "nearest_members")
+        if radius >= codes.turns.shape[1]:
+            rounds.append(members)
+            break
+        full = members.groupBy("class").count().where(F.col("count") >= due).select("class")
+        rounds.append(members.join(full, "class", "left_semi"))
+        query_classes = store(query_classes.join(full, "class", "left_anti"), "query_vectors")
+        n_queries, radius = query_classes.count(), min(max(2 * radius, SUBSTRING), codes.turns.shape[1])
+    each = asked.withColumnRenamed("id", "query_id").join(reduce(DataFrame.unionByName, rounds), "class").where("query_id <> id")
     return first(each, "query_id", "id", k).select("query_id", "rank", "id", "score")

@@ -183,6 +183,23 @@ def test_recall(corpus):
     assert len(want & found) / len(want) >= 0.9
 
 
+def test_isolated_queries_get_all_they_are_due(corpus):
+    random_ = np.random.default_rng(5)
+    centres = np.repeat(random_.normal(size=(40, 32)), 60, axis=0)
+    vectors = np.concatenate([centres + 0.01 * random_.normal(size=centres.shape), random_.normal(size=(20, 32))])
+    table = corpus.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    isolated = range(2400, 2420)
+    asked = (F.col("vec_id") >= 2400) | (F.col("vec_id") % 300 == 0)
+    got = nearest.nearest(table, asked, 20, "vec_id", "embedding").toPandas()
+    assert got.groupby("query_id")["rank"].apply(sorted).to_dict() == {
+        i: list(range(1, 21)) for i in [*range(0, 2400, 300), *isolated]
+    }
+    near = vectors @ vectors[isolated].T
+    near[isolated, range(20)] = -np.inf
+    want = {(i, j) for i, column in zip(isolated, near.T, strict=True) for j in np.argsort(-column)[:20]}
+    assert len(want & set(zip(got.query_id, got.id, strict=True))) / len(want) >= 0.9
+
+
 def test_equal_and_unusable_vectors(corpus):
     same = [1.0, 0.0]
     rows = [(i, same) for i in range(0, 60)] + [(100, [0.9, 0.1]), (101, None), (102, [0.0, 0.0]), (103, [1.0, None]),
