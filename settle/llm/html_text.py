@@ -5,8 +5,9 @@ element. Lines in menus, forms, adverts, comments and the like, and lines that
 are mostly links, count as empty. The text lengths are summed over a sliding
 window of lines: where the sum rises over a threshold the main text surges,
 where it falls to nothing it dives, and the lines between are kept, short ones
-too. A page that marks its article is read there, its lines always count as
-enough to surge.
+too. An article or main element is one weight: where such elements hold most of a
+page's text, their lines count double, those of links too, and a surge in them
+reaches back to where the element begins. It excludes no line.
 
 Null and empty pages give an empty text. Repeated rows are read one by one.
 Whole pages are read, nothing is capped.
@@ -26,6 +27,7 @@ from settle.llm.common import texts_of
 
 WINDOW = 3
 SURGE = 80  # characters in a window where the main text begins
+MARKED_WEIGHT = 2  # of lines in article or main, where these hold most of the text
 LINK_SHARE = 0.6  # a line with more of its characters in links counts as empty
 
 # Elements whose content is never text of the page.
@@ -145,24 +147,26 @@ class Lines:
 
 def main_text(page: str) -> str:
     lines = Lines(page).lines
-    marked = any(in_article and not apart for _, _, apart, in_article in lines)
+    own = [0 if apart else len(text) for text, _, apart, _ in lines]
+    trusted = 2 * sum(n for n, line in zip(own, lines, strict=True) if line[3]) > sum(own)
     weights = []
-    for text, linked, apart, in_article in lines:
-        if apart or (marked and not in_article):
-            weights.append(0)
-        elif marked:
-            weights.append(max(len(text), SURGE))
+    for (text, linked, _, in_article), length in zip(lines, own, strict=True):
+        if trusted and in_article:
+            weights.append(MARKED_WEIGHT * length)
         else:
-            weights.append(0 if linked > LINK_SHARE * len(text) else len(text))
+            weights.append(0 if linked > LINK_SHARE * len(text) else length)
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     # On a page with little text the fullest window is where it surges.
     threshold = min(SURGE, max(sums, default=0))
-    kept, between = [], False
+    kept, between, dived = [], False, 0
     for i, (weight, ahead) in enumerate(zip(weights, sums, strict=True)):
         if not between and weight and ahead >= threshold:
-            between = True  # surge
+            between, start = True, i  # surge
+            while trusted and start > dived and lines[start - 1][3]:
+                start -= 1
+            kept += [lines[j][0] for j in range(start, i) if weights[j]]
         elif between and not ahead:
-            between = False  # dive
+            between, dived = False, i  # dive
         if between and weight:
             kept.append(lines[i][0])
     return "\n".join(kept)

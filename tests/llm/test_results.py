@@ -163,6 +163,22 @@ def test_main_text(wrap):
     assert html_text.main_text(PAGE % (wrap % BODY)) == TEXT
 
 
+def test_story_beside_teaser_articles():
+    story = ["The story", *(f"Paragraph {i} of the story, told at such a length that it surges by itself, short as it is." for i in range(4))]
+    cards = "".join(f"<article><h3><a href='/{i}'>Teaser {i} of another story</a></h3></article>" for i in range(6))
+    told = f"<div><h1>{story[0]}</h1>{''.join(f'<p>{p}</p>' for p in story[1:])}</div>"
+    for body in (cards + told, told + cards):
+        assert html_text.main_text(f"<html><body>{body}</body></html>") == "\n".join(story)
+
+
+def test_tag_excludes_no_text():
+    parts = [f"Part {i} of a text that is long enough to surge over the threshold, wherever in the page it is." for i in range(3)]
+    page = f"<body><p>{parts[0]}</p><article><h1>A</h1><p>B</p><p>C</p><p>{parts[1]}</p><p>{parts[1]}</p></article><p>{parts[2]}</p></body>"
+    assert html_text.main_text(page) == "\n".join([parts[0], "A", "B", "C", parts[1], parts[1], parts[2]])
+    page = f"<body><article><h1>A</h1><p>B</p><p>C</p><p>D</p><p>{parts[1]}</p><p>{parts[1]}</p></article></body>"
+    assert html_text.main_text(page) == "\n".join(["A", "B", "C", "D", parts[1], parts[1]])
+
+
 def test_main_text_of_odd_pages(corpus):
     odd = [None, "", "just text", "<p>unclosed <b", "<!-- open", "<script>x", "<p>" * 3000, "a &lt; b <br/> c", "<article></article>"]
     rows = corpus.createDataFrame([(i, h, "x") for i, h in enumerate(odd)], "page_id long, html string, text string")
