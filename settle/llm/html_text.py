@@ -30,8 +30,10 @@ SURGE = 80  # characters in a window where the main text begins
 MARKED_WEIGHT = 2  # of lines in article or main, where these hold most of the text
 LINK_SHARE = 0.6  # a line with more of its characters in links counts as empty
 
-# Elements whose content is never text of the page.
-HIDDEN = ("script", "style", "template", "noscript", "iframe", "svg", "textarea", "select", "head", "title", "object", "canvas")
+# Elements whose content is never text of the page. Without an end tag, RAW ones run to the end of the page, a title
+# to the next tag, a select to the first tag that is not of its options; of the others only the tag is skipped.
+RAW = {"script", "style", "textarea"}
+HIDDEN = RAW | {"template", "noscript", "iframe", "svg", "select", "title", "object", "canvas"}
 # Elements that hold no part of an article.
 APART = {"nav", "footer", "aside", "form", "dialog", "menu", "button", "header"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "menu", "menubar"}
@@ -53,11 +55,18 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 ATTRIBUTES = r"""(?:"[^"]*"|'[^']*'|[^'">])*"""
 TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<hidden>{'|'.join(HIDDEN)})\b{ATTRIBUTES}(?<!/)>.*?(?:</(?P=hidden)\s*>|\Z)"
     rf"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>{ATTRIBUTES})>"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in RAW}
+PAIRED = re.compile(
+    rf"<(?P<end>/?)(?P<name>{'|'.join(sorted(HIDDEN - RAW))})(?=[\s/>])(?P<attributes>{ATTRIBUTES})>", re.IGNORECASE
+)
+UNCLOSED = {
+    "title": re.compile(r"[^<]*"),
+    "select": re.compile(r"(?:[^<]|</?(?:option|optgroup|hr)(?=[\s/>])[^>]*>)*", re.IGNORECASE),
+}
 MARKED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 
 
@@ -78,6 +87,20 @@ def set_apart(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def ends(page: str) -> dict[int, int]:
+    """Where hidden elements that have an end tag begin, and where that tag ends; each end tag closes the last open one."""
+    found: dict[int, int] = {}
+    begun: dict[str, list[int]] = {}
+    for tag in PAIRED.finditer(page):
+        starts = begun.setdefault(tag["name"].lower(), [])
+        if not tag["end"]:
+            if not tag["attributes"].endswith("/"):
+                starts.append(tag.start())
+        elif starts:
+            found[starts.pop()] = tag.end()
+    return found
+
+
 class Lines:
     """Lines of a page: text, characters in links, whether set apart, whether in the article."""
 
@@ -86,14 +109,21 @@ class Lines:
         self.open: list[tuple[str, bool, bool]] = []  # name, set apart, in article; with all around it
         self.pieces: list[str] = []
         self.linked = self.links = 0
-        at = 0
-        for token in TOKEN.finditer(page):
+        at, closed = 0, ends(page)
+        while token := TOKEN.search(page, at):
             self.text(page[at : token.start()])
             at = token.end()
-            if name := token["name"]:
-                self.tag(name.lower(), bool(token["end"]), token["attributes"])
-            elif token["hidden"] is None:
+            if not (name := (token["name"] or "").lower()):
                 continue
+            if name not in HIDDEN or token["end"] or token["attributes"].endswith("/"):
+                self.tag(name, bool(token["end"]), token["attributes"])
+            elif name in RAW:
+                end = RAW_END[name].search(page, at)
+                at = end.end() if end else len(page)
+            elif token.start() in closed:
+                at = closed[token.start()]
+            elif name in UNCLOSED:
+                at = UNCLOSED[name].match(page, at).end()
         self.text(page[at:])
         self.line()
 

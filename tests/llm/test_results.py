@@ -179,6 +179,17 @@ def test_tag_excludes_no_text():
     assert html_text.main_text(page) == "\n".join(["A", "B", "C", "D", parts[1], parts[1]])
 
 
+@pytest.mark.parametrize("before", [
+    "<head><title>T</title>", "<head><meta charset='x'><title>T", "<title>T", "<body><noscript>", "<body><svg><path d=''>",
+    "<body><select><option>A<option>B", "<body><object data='x'>", "<body><iframe src='x'>", "<body><svg><p>More</p><svg><title>x</title></svg>",
+    "<head><title>T</title></head><svg><svg></svg>no</svg>", "<head><script>a</script ><style>b</style><template>c</template>",
+])
+def test_hidden_elements_without_end_tags(before):
+    text = "Text of the page, which begins where no closing tag has ended the hidden element."
+    got = html_text.main_text(f"<html>{before}<body><p>{text}</p></body></html>").split("\n")
+    assert got == (["More", text] if "More" in before else [text])
+
+
 def test_main_text_of_odd_pages(corpus):
     odd = [None, "", "just text", "<p>unclosed <b", "<!-- open", "<script>x", "<p>" * 3000, "a &lt; b <br/> c", "<article></article>"]
     rows = corpus.createDataFrame([(i, h, "x") for i, h in enumerate(odd)], "page_id long, html string, text string")
