@@ -1,11 +1,12 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped and the page becomes a list of lines, one for each block
-element. Lines in menus, forms, adverts, comments and the like, and lines that
-are mostly links, count as empty. The text lengths are summed over a sliding
+element. Lines in menus, forms, adverts, comments and the like are set apart:
+they are never kept and neither make nor end a run of text. Lines that are mostly
+links count as empty. The text lengths of the rest are summed over a sliding
 window of lines: where the sum rises over a threshold the main text surges,
-where it falls to nothing it dives, and the lines between are kept, short ones
-too. An article or main element is one weight: where such elements hold most of a
+where it falls to nothing it dives, and all lines between are kept, short ones
+and links too. An article or main element is one weight: where such elements hold most of a
 page's text, their lines count double, those of links too, and a surge in them
 reaches back to where the element begins. It excludes no line.
 
@@ -28,7 +29,7 @@ from settle.llm.common import texts_of
 WINDOW = 3
 SURGE = 80  # characters in a window where the main text begins
 MARKED_WEIGHT = 2  # of lines in article or main, where these hold most of the text
-LINK_SHARE = 0.6  # a line with more of its characters in links counts as empty
+LINK_SHARE = 0.6  # a line with more of its characters in links counts as empty where the text surges and dives
 
 # Elements whose content is never text of the page. Without an end tag, RAW ones run to the end of the page, a title
 # to the next tag, a select to the first tag that is not of its options; of the others only the tag is skipped.
@@ -176,15 +177,15 @@ class Lines:
 
 
 def main_text(page: str) -> str:
-    lines = Lines(page).lines
-    own = [0 if apart else len(text) for text, _, apart, _ in lines]
-    trusted = 2 * sum(n for n, line in zip(own, lines, strict=True) if line[3]) > sum(own)
+    lines = [(text, linked, in_article) for text, linked, apart, in_article in Lines(page).lines if not apart]
+    in_articles = sum(len(text) for text, _, in_article in lines if in_article)
+    trusted = 2 * in_articles > sum(len(text) for text, _, _ in lines)
     weights = []
-    for (text, linked, _, in_article), length in zip(lines, own, strict=True):
+    for text, linked, in_article in lines:
         if trusted and in_article:
-            weights.append(MARKED_WEIGHT * length)
+            weights.append(MARKED_WEIGHT * len(text))
         else:
-            weights.append(0 if linked > LINK_SHARE * len(text) else length)
+            weights.append(0 if linked > LINK_SHARE * len(text) else len(text))
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
     # On a page with little text the fullest window is where it surges.
     threshold = min(SURGE, max(sums, default=0))
@@ -192,12 +193,12 @@ def main_text(page: str) -> str:
     for i, (weight, ahead) in enumerate(zip(weights, sums, strict=True)):
         if not between and weight and ahead >= threshold:
             between, start = True, i  # surge
-            while trusted and start > dived and lines[start - 1][3]:
+            while trusted and start > dived and lines[start - 1][2]:
                 start -= 1
-            kept += [lines[j][0] for j in range(start, i) if weights[j]]
+            kept += [lines[j][0] for j in range(start, i)]
         elif between and not ahead:
             between, dived = False, i  # dive
-        if between and weight:
+        if between:
             kept.append(lines[i][0])
     return "\n".join(kept)
 

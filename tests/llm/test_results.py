@@ -190,6 +190,13 @@ def test_hidden_elements_without_end_tags(before):
     assert got == (["More", text] if "More" in before else [text])
 
 
+def test_all_between_surge_and_dive_is_kept():
+    parts = [f"Part {i} of a text that is long enough to surge over the threshold, wherever in the page it is." for i in range(2)]
+    advert = "<div class='ad'><p>Buy</p><p>this</p><p>or</p><p>that</p></div>"
+    page = f"<body><div><p>{parts[0]}</p><p>See <a href='/x'>the reference that is mostly a link</a></p><p>{parts[1]}</p>{advert}<p>End.</p></div></body>"
+    assert html_text.main_text(page) == "\n".join([parts[0], "See the reference that is mostly a link", parts[1], "End."])
+
+
 def test_main_text_of_odd_pages(corpus):
     odd = [None, "", "just text", "<p>unclosed <b", "<!-- open", "<script>x", "<p>" * 3000, "a &lt; b <br/> c", "<article></article>"]
     rows = corpus.createDataFrame([(i, h, "x") for i, h in enumerate(odd)], "page_id long, html string, text string")
