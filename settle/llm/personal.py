@@ -40,7 +40,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 QUAD = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 DIALLED = re.compile(r"\+[0-9][\x20().0-9-]+")
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
-AFTER_CUE = re.compile(r"[\x20:#.]{0,4}([0-9][0-9\x20-]{3,30}[0-9])")
+AFTER_CUE = re.compile(r"[\x20:#.]{0,4}([0-9](?:[\x20-]*[0-9])*)")  # a number to its end, of any length
 LOGIN = re.compile(r"([^\s/@:]+):([^\s/@]+)@")
 
 Span = tuple[str, int, int]
@@ -81,7 +81,7 @@ def addresses(text: str, digits: list[int]) -> Iterator[Span]:
             continue
         if quad := QUAD.match(text, at):
             free = quad.end()
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in quad.groups()):
+            if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or "0") <= 255 for part in quad.groups()):
                 yield "ip", at, free
 
 

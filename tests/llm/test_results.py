@@ -300,3 +300,15 @@ def test_personal_against_patterns(corpus):
 def test_personal_cues():
     text = "iban DE89 3704 0044 0532 0130 00 END ssn: 123-45-6789 http://joe:pw@host.com/x"
     assert [s for s in personal.spans(text) if s[0] in personal.ADDED] == [("iban", 5, 32), ("account", 42, 53), ("login", 61, 67)]
+
+
+@pytest.mark.parametrize("number", ["1" * 33, "1" * 5000, "1234 5678 " * 8 + "9", "123-456", "1" + " " * 40 + "23456"])
+def test_number_after_cue_to_its_end(number):
+    text = f"account: {number} x"
+    assert [s for s in personal.spans(text) if s[0] == "account"] == [("account", 9, 9 + len(number))]
+    assert not [s for s in personal.spans("account: 12-345 x") if s[0] == "account"]
+
+
+def test_address_of_many_zeros():
+    text = f"{'0' * 5000}.1.{'0' * 5000}7.255"
+    assert [s for s in personal.spans(text) if s[0] == "ip"] == [("ip", 0, len(text))]
