@@ -46,6 +46,8 @@ SUBSTRING = 16  # bits of an indexed substring
 WANTED = 0.98  # share of the sample's neighbours within the radius
 SHARD_ROWS = 4096
 BLOCK_ROWS = 1024
+PROBED_ROWS = 256  # queries of a block probed at a time
+PRODUCTS = 1 << 21  # components multiplied at a time
 ROUNDS = 30
 POPCOUNT = np.bitwise_count(np.arange(1 << SUBSTRING, dtype=np.uint32)).astype(np.uint8)
 
@@ -102,35 +104,39 @@ def inner_products(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     return total
 
 
+def retrieved(query_codes: np.ndarray, shard_codes: np.ndarray, codes: Codes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, row) of the pairs within the radius: those in probed buckets, checked by the whole code."""
+    radii, index = codes.substring_radius(query_codes.shape[1]), []
+    for i in range(len(radii)):
+        # The index of substring i: rows by value, and where the rows of each distinct value begin.
+        order = np.argsort(shard_codes[:, i], kind="stable")
+        index.append((order, *np.unique(shard_codes[order, i], return_index=True, return_counts=True)))
+    for start in range(0, len(query_codes), PROBED_ROWS):
+        part = query_codes[start : start + PROBED_ROWS]
+        probed = np.zeros((len(part), len(shard_codes)), dtype=bool)
+        for i, (radius, (order, buckets, begins, counts)) in enumerate(zip(radii, index, strict=True)):
+            q, bucket = np.nonzero(POPCOUNT[part[:, i, None] ^ buckets[None, :]] <= radius)
+            n = counts[bucket]
+            place = np.arange(n.sum()) + np.repeat(begins[bucket] - (np.cumsum(n) - n), n)
+            probed[np.repeat(q, n), order[place]] = True
+        q, v = np.nonzero(probed)
+        near = np.bitwise_count(part[q] ^ shard_codes[v]).sum(1, dtype=np.int64) <= codes.radius
+        yield q[near] + start, v[near]
+
+
 def search(asked: tuple, shard: tuple, codes: Codes, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query class, class, score) of the best `most` classes of a shard for each query of a block."""
     query_ids, queries = asked
     ids, vectors = shard
-    query_codes, shard_codes = codes.encode(queries), codes.encode(vectors)
-    substrings = query_codes.shape[1]
-    total = np.zeros((len(queries), len(vectors)), dtype=np.uint16)
-    probed = np.zeros(total.shape, dtype=bool)
-    for i, radius in enumerate(codes.substring_radius(substrings)):
-        # The index of substring i: its distinct values, and which rows have each.
-        buckets, bucket_of = np.unique(shard_codes[:, i], return_inverse=True)
-        apart = POPCOUNT[query_codes[:, i, None] ^ buckets[None, :]]
-        probed |= (apart <= radius)[:, bucket_of]
-        total += apart[:, bucket_of]
-    found = probed & (total <= codes.radius)
-    rough = np.where(found, queries.astype(np.float64) @ vectors.T.astype(np.float64), -np.inf)
-    if rough.shape[1] > most:
-        bar = np.partition(rough, rough.shape[1] - most, axis=1)[:, -most][:, None]
-    else:
-        bar = np.full((len(queries), 1), -np.inf)
-    # Rough products differ in their last bits with the shape of a block; all near the bar are done exactly.
-    scale = np.linalg.norm(queries.astype(np.float64), axis=1)[:, None] * np.linalg.norm(vectors.astype(np.float64), axis=1).max(initial=0)
-    q, v = np.nonzero(found & (rough >= bar - 1e-12 * scale))
-    score = inner_products(queries[q], vectors[v])
-    order = np.lexsort((ids[v], -score, q))
-    q, v, score = q[order], v[order], score[order]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    keep = rank < most
-    return query_ids[q[keep]], ids[v[keep]], score[keep]
+    at_once, parts = max(1, PRODUCTS // queries.shape[1]), []
+    for q, v in retrieved(codes.encode(queries), codes.encode(vectors), codes):
+        pieces = [slice(i, i + at_once) for i in range(0, len(q), at_once)]
+        score = np.concatenate([np.zeros(0), *(inner_products(queries[q[p]], vectors[v[p]]) for p in pieces)])
+        order = np.lexsort((ids[v], -score, q))
+        q, v, score = q[order], v[order], score[order]
+        keep = np.arange(len(q)) - np.searchsorted(q, q) < most
+        parts.append((query_ids[q[keep]], ids[v[keep]], score[keep]))
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
 def classes(vectors: DataFrame, most: int) -> DataFrame:

@@ -234,6 +234,21 @@ def test_isolated_queries_get_all_they_are_due(corpus):
     assert len(want & set(zip(got.query_id, got.id, strict=True))) / len(want) >= 0.9
 
 
+def test_products_of_retrieved_pairs_only(monkeypatch):
+    random_ = np.random.default_rng(6)
+    vectors = np.repeat(random_.normal(size=(40, 32)), 50, axis=0) + 0.01 * random_.normal(size=(2000, 32))
+    codes, ids, done = nearest.learn(vectors, 20), np.arange(2000), []
+    products = nearest.inner_products
+    monkeypatch.setattr(nearest, "inner_products", lambda one, other: done.append(len(one)) or products(one, other))
+    query, found, score = nearest.search((ids[:300], vectors[:300]), (ids, vectors), codes, 21)
+    bits = codes.encode(vectors)
+    within = np.bitwise_count(bits[:300, None, :] ^ bits[None, :, :]).sum(2, dtype=int) <= codes.radius
+    assert sum(done) == within.sum() < 0.1 * within.size
+    near = np.where(within, vectors[:300] @ vectors.T, -np.inf)
+    want = np.argsort(-near, axis=1)[:, :21]
+    assert set(zip(query, found, strict=True)) == {(i, j) for i in range(300) for j in want[i] if within[i, j]}
+
+
 def test_equal_and_unusable_vectors(corpus):
     same = [1.0, 0.0]
     rows = [(i, same) for i in range(0, 60)] + [(100, [0.9, 0.1]), (101, None), (102, [0.0, 0.0]), (103, [1.0, None]),
