@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from settle.llm import bpe, decontaminate, html_text, language_id, nearest, personal, quality, secrets, simhash, warc
+from settle.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    language_id,
+    nearest,
+    personal,
+    quality,
+    secrets,
+    simhash,
+    warc,
+    whitening,
+)
 from settle.llm.common import table
 
 ORACLES: dict[str, str] = {}
@@ -189,6 +201,10 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(bpe.encode(table(spark, folder, "documents"), vocabulary, ["doc_id"]), vocabulary)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"), "vec_id", "embedding")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -200,4 +216,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": op8_nearest,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_personal": op10_personal,
+    "op11_whitening": op11_whitening,
 }
