@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from settle.llm import (
     bpe,
     decontaminate,
+    exact_search,
     html_text,
     language_id,
     nearest,
@@ -205,6 +206,29 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"), "vec_id", "embedding")
 
 
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    found = exact_search.top_k(rows, F.col("vec_id") % 20 == 0, 20, "vec_id", "embedding")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+# A score is summed from the products of places that both vectors have. Integers
+# beyond a long do not occur in the tables SQL is run on.
+ORACLES["op12_exact_top_k"] = """
+WITH part AS (SELECT row_number() OVER () AS rid, CAST(vec_id AS BIGINT) AS vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+valid AS (SELECT rid, vec_id, list_transform(v, lambda c: CAST(floor(64 * c) AS BIGINT)) AS x FROM part
+  WHERE len(list_filter(v, lambda c: c IS NULL OR isnan(c) OR isinf(64 * c))) = 0),
+cell AS (SELECT rid, vec_id, generate_subscripts(x, 1) AS d, unnest(x) AS v FROM valid),
+score AS (SELECT q.rid AS own, c.rid, sum(q.v * c.v) AS score
+  FROM cell q JOIN cell c ON q.d = c.d WHERE q.vec_id % 20 = 0 AND q.rid <> c.rid GROUP BY q.rid, c.rid),
+pair AS (SELECT q.rid AS own, q.vec_id AS query_id, c.rid, c.vec_id, CAST(coalesce(s.score, 0) AS BIGINT) AS score
+  FROM valid q JOIN valid c ON q.vec_id % 20 = 0 AND q.rid <> c.rid
+  LEFT JOIN score s ON s.own = q.rid AND s.rid = c.rid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id, rid) AS rank FROM pair)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -217,4 +241,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_personal": op10_personal,
     "op11_whitening": op11_whitening,
+    "op12_exact_top_k": op12_exact_top_k,
 }
