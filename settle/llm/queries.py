@@ -16,6 +16,7 @@ from settle.llm import (
     language_id,
     nearest,
     personal,
+    prefix_trie,
     quality,
     secrets,
     simhash,
@@ -229,6 +230,37 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20"""
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(prefix_trie.borrowed_heads(table(spark, folder, "conversations")))
+
+
+# CRC-32 bit by bit: a byte is mixed in at every eighth step.
+ORACLES["op13_prefix_trie"] = r"""
+WITH said AS (SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT c, dense_rank() OVER (ORDER BY role, text) AS t, text, row_number() OVER (PARTITION BY c
+    ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS i FROM said),
+words AS (SELECT DISTINCT t, len(regexp_extract_all(text, '[^ 	-]+')) AS n FROM numbered),
+conv AS (SELECT c, list(t ORDER BY i) AS ts, CAST(c AS VARCHAR) AS s FROM numbered GROUP BY c),
+part AS (SELECT c, ts, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, len(s) + 1),
+    lambda i: [CAST(ascii(substr(s, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1)))) % 4 AS h FROM conv),
+seq AS (SELECT p.c, list_concat(coalesce(s.ts[1:p.h], []), p.ts[p.h + 1:]) AS ts
+  FROM part p LEFT JOIN conv s ON s.c = p.c - p.c % 20),
+member AS (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM seq),
+node AS (SELECT ts[1:d] AS p, d, min(c) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(ts) = d), '')) AS ends FROM member GROUP BY ts[1:d], d),
+child AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY p[1:d - 1]),
+worth AS (SELECT node.p, node.d, CASE WHEN node.d = 0 THEN 0 ELSE (node.n - 1) * words.n END AS saved, child.n IS NULL AS leaf
+  FROM node LEFT JOIN words ON words.t = node.p[node.d] LEFT JOIN child ON child.p = node.p),
+above AS (SELECT p[1:k] AS p, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves
+  FROM (SELECT p, saved, leaf, unnest(range(0, d + 1)) AS k FROM worth) GROUP BY p[1:k])
+SELECT node.conv_id, CAST(node.d AS BIGINT) AS depth, parent.conv_id AS parent_conv_id, node.n AS n_convs,
+  coalesce(child.n, 0) AS n_children, above.leaves AS n_leaves, CAST(above.saved AS BIGINT) AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN above ON above.p = node.p LEFT JOIN child ON child.p = node.p
+LEFT JOIN node parent ON node.d > 0 AND parent.p = node.p[1:node.d - 1]"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality": op2_quality,
@@ -242,4 +274,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_personal": op10_personal,
     "op11_whitening": op11_whitening,
     "op12_exact_top_k": op12_exact_top_k,
+    "op13_prefix_trie": op13_prefix_trie,
 }
