@@ -29,7 +29,7 @@ cells (CELLS at most) go to every task.
 
 Products are computed in the narrowest floating type in which the largest
 lengths of the vectors show that every partial sum is an exact integer; beyond
-2^53 in Python integers. A score beyond a long counts as the nearest long. Vectors that are null or hold null or non-finite
+2^53 in Python integers. A score beyond a long counts as 2^63 - 1 or its negative. Vectors that are null or hold null or non-finite
 components (also 64 x) take no part, nor do rows with a null id; zero and empty
 vectors do. A shorter vector counts as filled up with zeros. Rows that share an
 id are rows of their own: each is a candidate, each is a query if its id is, and
@@ -57,7 +57,7 @@ SHARD_ROWS = 32768
 LEAF_ROWS = 256
 BLOCK_ROWS = 512
 EXACT = {np.dtype(np.float32): 2.0**24, np.dtype(np.float64): 2.0**53}
-LEAST_LONG, MOST_LONG = -(2**63), 2**63 - 1
+LEAST_LONG, MOST_LONG = 1 - 2**63, 2**63 - 1
 
 
 # Trees.
@@ -191,7 +191,7 @@ def as_type(vectors: np.ndarray, kind: np.dtype) -> np.ndarray:
 
 
 def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact scores as longs, the nearest long beyond."""
+    """Exact scores as longs; beyond, the outermost long."""
     scores = queries @ rows.T
     if scores.dtype == object:
         scores = np.minimum(np.maximum(scores, LEAST_LONG), MOST_LONG)

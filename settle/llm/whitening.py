@@ -8,8 +8,12 @@ A pass brings dimensions x block numbers to the driver, however many rows there
 
 A round applies a Chebyshev polynomial of V to the block by its three-term
 recurrence, one pass a degree. The polynomial is small on the interval of the
-unwanted spectrum and grows fast above it. QR makes the block orthonormal again
-and Rayleigh-Ritz turns it to the eigenvectors within it. The rounds end when
+unwanted spectrum (from what a few Lanczos steps find to be its lower end up to
+the block's smallest value) and grows fast above it. QR makes the block
+orthonormal again and Rayleigh-Ritz turns it to the eigenvectors within it.
+Leading pairs that are certified are locked: later rounds filter the others
+alone, orthogonal to them. The degree is such that no direction grows over GROWTH
+times, beyond which rounding would drown the smaller ones. The rounds end when
 the pairs are certified: for every wanted pair the norm of V q - e q is within
 CERTIFIED of the largest eigenvalue, so each e is an eigenvalue to that
 precision. The block holds GUARDS more vectors than wanted, which keep the cut
@@ -44,8 +48,10 @@ from settle.llm.common import prepare, store
 SCALE, SHIFT = 64, 1_000_000
 WANTED = 16
 GUARDS = 16
-DEGREE = 12  # passes of a round
-ROUNDS = 60
+DEGREE = 12  # passes of a round, at most
+GROWTH = 1e7
+LANCZOS = 10
+ROUNDS = 200
 CERTIFIED = 2e-14  # residual against the largest eigenvalue
 GOOD_ENOUGH = 1e-11  # what a stalled iteration must have reached
 RANK = 1e-10
@@ -67,7 +73,7 @@ def filled(x: pa.ListArray, dimensions: int) -> np.ndarray:
     lengths = np.diff(x.offsets.to_numpy())
     flat = x.flatten().to_numpy()
     if (lengths == dimensions).all():
-        return flat.reshape(-1, dimensions)
+        return flat.reshape(len(x), dimensions)
     rows = np.full((len(x), dimensions), SHIFT, dtype=np.int64)
     rows[np.arange(dimensions) < lengths[:, None]] = flat
     return rows
@@ -165,19 +171,47 @@ def rayleigh_ritz(block: np.ndarray, product: np.ndarray) -> tuple[np.ndarray, n
     return values[::-1], block @ turn, product @ turn
 
 
-def filtered(fit: Fit, block: np.ndarray, product: np.ndarray, low: float, cut: float, top: float) -> np.ndarray:
+def lower_end(fit: Fit, start: np.ndarray) -> float:
+    """About the smallest eigenvalue, from a few Lanczos steps; never below zero.
+
+    If it is somewhat too high, what lies below it is damped less, but still less than wanted pairs grow.
+    """
+    basis, diagonal, beside = [start / np.linalg.norm(start)], [], []
+    for _ in range(min(LANCZOS, fit.dimensions)):
+        step = fit.product(basis[-1])
+        diagonal.append(float(np.vdot(basis[-1], step)))
+        for _ in range(2):
+            for known in basis:
+                step = step - known * np.vdot(known, step)
+        beside.append(float(np.linalg.norm(step)))
+        if beside[-1] <= 1e-12 * abs(diagonal[0]):
+            break
+        basis.append(step / beside[-1])
+    small = np.diag(diagonal) + np.diag(beside[: len(diagonal) - 1], 1) + np.diag(beside[: len(diagonal) - 1], -1)
+    return max(float(np.linalg.eigvalsh(small)[0]), 0.0)
+
+
+def filtered(fit: Fit, block: np.ndarray, product: np.ndarray, locked: np.ndarray, span: tuple[float, float, float]) -> np.ndarray:
     """The Chebyshev polynomial of V that is small on [low, cut], applied to the block.
 
-    Scaled so that it is about 1 at `top`; the first product is known.
+    Scaled so that it is about 1 at `top`; the first product is known. The block
+    is kept orthogonal to what is locked.
     """
+    low, cut, top = span
     half, centre = (cut - low) / 2, (cut + low) / 2
+    reach = (top - centre) / half
+    degree = min(DEGREE, max(1, int(math.log(GROWTH) / math.log(reach + math.sqrt(reach * reach - 1)))))
     sigma = first = half / (top - centre)
-    before, now = block, (product - centre * block) * (first / half)
-    for _ in range(DEGREE - 1):
+
+    def apart(q: np.ndarray) -> np.ndarray:
+        return q - locked @ (locked.T @ q)
+
+    before, now = block, apart(product - centre * block) * (first / half)
+    for _ in range(degree - 1):
         following = 1 / (2 / first - sigma)
-        before, now = now, (fit.product(now) - centre * now) * (2 * following / half) - before * (sigma * following)
+        before, now = now, apart((fit.product(now) - centre * now) * (2 * following / half) - before * (sigma * following))
         sigma = following
-    return now
+    return apart(now)
 
 
 def components(fit: Fit, wanted: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -186,17 +220,22 @@ def components(fit: Fit, wanted: int, seed: int = 5) -> tuple[np.ndarray, np.nda
     if fit.n < 2 or not size or fit.trace <= 0:
         return np.zeros(0), np.zeros((fit.dimensions, 0))
     wanted = min(wanted, size)
-    block = np.linalg.qr(np.random.default_rng(seed).normal(size=(fit.dimensions, size)))[0]
-    best = math.inf
+    random, best = np.random.default_rng(seed), math.inf
+    block = np.linalg.qr(random.normal(size=(fit.dimensions, size)))[0]
+    low = lower_end(fit, random.normal(size=(fit.dimensions, 1))) if size < fit.dimensions else 0.0
     for _ in range(ROUNDS):
         values, block, product = rayleigh_ritz(block, fit.product(block))
-        left = np.linalg.norm(product - block * values, axis=0)[:wanted].max() / max(values[0], 1e-300)
+        residuals = np.linalg.norm(product - block * values, axis=0)[:wanted] / max(values[0], 1e-300)
+        left = residuals.max()
         if left <= CERTIFIED or (left <= GOOD_ENOUGH and left > best / 2):
             break  # certified, or as near as rounding lets it come
         best = min(best, left)
-        cut = max(float(values[-1]), values[0] * 1e-12)
-        grown = filtered(fit, block, product, 0.0, cut, float(values[0])) if values[0] > cut else product
-        block = np.linalg.qr(grown)[0]
+        done = int((residuals > CERTIFIED).argmax())
+        locked, rest, next_ = block[:, :done], block[:, done:], product[:, done:]
+        cut, top = float(values[-1]), float(values[done])
+        lowest = min(low, cut - (top - cut) / 2)
+        grown = filtered(fit, rest, next_, locked, (max(lowest, 0.0), cut, top)) if cut > 1e-12 * top and cut < top else next_
+        block = np.linalg.qr(np.concatenate([locked, grown], axis=1))[0]
     else:
         raise ArithmeticError(f"eigenvectors not certified after {ROUNDS} rounds: residual {left:.1e}")
     kept = int((values[:wanted] > RANK * values[0]).sum())

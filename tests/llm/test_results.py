@@ -19,7 +19,7 @@ from settle.llm.queries import multilingual, token_digests
 
 FOLDER = "/root/testdata/sf0.01"
 SMALL = "/root/testdata/sf0.001"
-TABLES = ["documents", "pages", "benchmark", "embeddings", "labels"]
+TABLES = ["documents", "pages", "benchmark", "embeddings", "labels", "conversations"]
 
 
 def plain(value):
