@@ -113,16 +113,17 @@ def land_csv(df: DataFrame, name: str, other=None) -> str:
     """Save as CSV files in folders below a fresh one; the path of the upper.
 
     Half of the rows go to files of another layout: columns the other way
-    round, one more among them, and what `other` makes of their values.
+    round, one more among them whose name holds a comma, and what `other` makes of
+    their values. Their folder's name holds a space and a percent sign.
     """
     path = fresh_path(df.sparkSession, name)
     usual = F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0
     df.where(usual).write.option("header", True).csv(f"{path}/landed")
     changed = df.where(~usual).withColumns(other or {})
     columns = df.columns[::-1]
-    changed.withColumn("Remark", F.lit("as received, unchecked")).select(
-        *columns[:1], "Remark", *columns[1:]
-    ).write.option("header", True).csv(f"{path}/other/deeper")
+    changed.withColumn("Remark, if any", F.lit("as received, unchecked")).select(
+        *columns[:1], "`Remark, if any`", *columns[1:]
+    ).write.option("header", True).csv(f"{path}/other 100%20/deeper")
     return path
 
 

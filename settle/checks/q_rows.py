@@ -85,12 +85,19 @@ def proj_scale(t):
 
 @query(
     "proj_replicate",
-    "date:d settlement_run settlement_period description actual_estimate uncorrected_consumption_gwh:f"
-    " corrected_consumption_gwh:f total_corrected_consumption_gwh:f total_uncorrected_consumption_gwh:f",
-    "SELECT * FROM big_demand",
+    "bmunitid settlementdate:d settlementruntype settlementperiod n uncorrected_consumption_gwh:f uncorrected_line_loss_gwh:f"
+    " corrected_consumption_gwh:f corrected_line_loss_gwh:f total_corrected_consumption_gwh:f total_uncorrected_consumption_gwh:f",
+    """SELECT bmunitid, settlementdate, settlementruntype, settlementperiod, count(*) AS n,
+    sum(metervolume) AS uncorrected_consumption_gwh, CASE WHEN count(*) > 0 THEN 0e0 END AS uncorrected_line_loss_gwh,
+    sum(metervolume) AS corrected_consumption_gwh, CASE WHEN count(*) > 0 THEN 0e0 END AS corrected_line_loss_gwh,
+    sum(metervolume) AS total_corrected_consumption_gwh, sum(metervolume) AS total_uncorrected_consumption_gwh
+    FROM c042_parsed GROUP BY ALL""",
 )
 def proj_replicate(t):
-    return inputs.big_demand(t)
+    """On every parsed reading, not only those of large demand."""
+    keys = ["bmunitid", "settlementdate", "settlementruntype", "settlementperiod"]
+    rows = c042.parse(t.raw_c042).select(*keys, *c042.replicated(F.col("metervolume")))
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), *measures.sums(*measures.VOLUMES))
 
 
 @query(
@@ -192,12 +199,17 @@ def filter_dropna_any(t):
 
 
 @query(
-    "filter_nonzero", "date:d settlement_run gsp_area settlement_period actual_estimate description:s"
-    " uncorrected_consumption_gwh:f",
-    "SELECT * FROM d277_all_runs",
+    "filter_nonzero", "profile_class data_quality n consumption:f",
+    """SELECT profile_class, data_quality, count(*) AS n, sum(consumption) AS consumption FROM (
+    SELECT profile_class, 'Estimate' AS data_quality, est AS consumption FROM d277_sums
+    UNION ALL SELECT profile_class, 'Actual', act FROM d277_sums) AS q WHERE consumption <> 0 GROUP BY ALL""",
 )
 def filter_nonzero(t):
-    return inputs.d277_all(t)
+    """On the totals by quality, before they take the shape of the area tables."""
+    totals = d277.split_quality(d277.profile_totals(inputs.d277_half_hours(t)))
+    return d277.with_consumption(totals).groupBy("profile_class", "data_quality").agg(
+        F.count("*").alias("n"), F.sum("uncorrected_consumption_gwh").alias("consumption")
+    )
 
 
 @query(

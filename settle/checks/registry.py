@@ -42,9 +42,14 @@ class Inputs:
         self.spark = configure(spark)
         self.folder = folder
         self.landed = landed
-        # A view is saved anew when the tables have changed.
-        counts = tuple(self.table(name).count() for name in TABLES) if landed else ()
-        self._state = (spark.sparkContext.applicationId, folder, counts)
+        # A view is saved anew when a file of the tables is another one.
+        files = tuple(self._files(name) for name in TABLES) if landed else ()
+        self._state = (spark.sparkContext.applicationId, folder, files)
+
+    def _files(self, name: str) -> tuple:
+        """Names, sizes and times of a table's files."""
+        found = self.table(name).select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time")
+        return tuple(sorted(map(tuple, found.distinct().collect())))
 
     def table(self, name: str) -> DataFrame:
         """One of the given tables."""

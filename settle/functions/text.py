@@ -16,29 +16,55 @@ def integer(col: str) -> Column:
     return number(col).try_cast("int")
 
 
-def compact_date(col: str) -> Column:
-    """Date from the first eight characters, yyyyMMdd.
+# Forms in which dates arrive, in the order in which they are tried after ISO.
+DATE_FORMS = ["dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy", "yyyy/MM/dd"]
+
+
+def try_date(col: str | Column) -> Column:
+    """Date from text in any known form; null for any other text."""
+    text = F.trim((F.col(col) if isinstance(col, str) else col).cast("string"))
+    return F.coalesce(text.try_cast("date"), *[F.try_to_date(text, form) for form in DATE_FORMS])
+
+
+def try_compact_date(col: str) -> Column:
+    """Date from text that begins with yyyyMMdd, or in any other known form; null for any other text.
 
-    Put as yyyy-MM-dd and cast, which is twice as fast as a format pattern.
+    The usual form is put as yyyy-MM-dd and cast, which is twice as fast as a
+    format pattern; the others are tried only where that gives nothing.
     """
     parts = [F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2)]
-    return F.concat_ws("-", *parts).try_cast("date")
+    usual = F.concat_ws("-", *parts).try_cast("date")
+    return F.coalesce(usual, F.when(usual.isNull(), try_date(col)))
 
 
-# Forms in which dates arrive, in the order in which they are tried after ISO.
-DATE_FORMS = ["dd/MM/yyyy", "d/M/yyyy", "yyyyMMdd", "dd-MM-yyyy", "yyyy/MM/dd"]
+def present(col: str | Column) -> Column:
+    """Text that is neither null nor blank."""
+    return F.trim((F.col(col) if isinstance(col, str) else col).cast("string")) != ""
 
 
-def any_date(col: str | Column) -> Column:
-    """Date from text in any known form; blank text is null.
+def strict(col: str | Column, value: Column, kind: str, what: str) -> Column:
+    """The value, or failure of the job where there is text but no value.
 
-    Text in no known form fails the job: a date that silently became null would
-    take its row along further on.
+    A field that silently became null would take its row along further on.
     """
-    text = F.trim((F.col(col) if isinstance(col, str) else col).cast("string"))
-    wrong = F.raise_error(F.concat(F.lit("no known form of date: "), text)).cast("date")
-    known = F.coalesce(text.try_cast("date"), *[F.try_to_date(text, form) for form in DATE_FORMS], wrong)
-    return F.when(text != "", known)
+    text = (F.col(col) if isinstance(col, str) else col).cast("string")
+    wrong = F.raise_error(F.concat(F.lit(f"{what}: "), text)).cast(kind)
+    return F.when(value.isNull() & present(col), wrong).otherwise(value)
+
+
+def compact_date(col: str) -> Column:
+    """Date as of `try_compact_date`; other text fails the job."""
+    return strict(col, try_compact_date(col), "date", "no known form of date")
+
+
+def any_date(col: str | Column) -> Column:
+    """Date as of `try_date`; other text fails the job. Blank text is null."""
+    return strict(col, try_date(col), "date", "no known form of date")
+
+
+def period(col: str) -> Column:
+    """Settlement period as a number; other text fails the job."""
+    return strict(col, integer(col), "int", "no settlement period")
 
 
 def player(unit: str) -> Column:

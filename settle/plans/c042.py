@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import actual_estimate, all_present, peak, run_rank
-from settle.functions.text import any_date, integer, number, player
+from settle.functions.text import any_date, integer, number, period, player, try_date
 from settle.operators import ranges, runs
 from settle.operators.measures import VOLUMES
 from settle.plans import units
@@ -20,10 +20,14 @@ BIG_DEMAND_KEYS = [
 ]
 
 
+# Fields that a row must not lose without a word.
+READABLE = {"settlementdate": try_date, "settlementperiod": integer}
+
+
 def parse(raw: DataFrame) -> DataFrame:
     parsed = raw.drop(*UNUSED).withColumns({
         "settlementdate": any_date("settlementdate"),
-        "settlementperiod": integer("settlementperiod"),
+        "settlementperiod": period("settlementperiod"),
         "metervolume": number("metervolume"),
         "player": player("bmunitid"),
     })
@@ -57,10 +61,14 @@ def big_demand_totals(rows: DataFrame) -> DataFrame:
     return known.groupBy(*BIG_DEMAND_KEYS).agg((F.sum("metervolume") / 1000).alias("volume_gwh"))
 
 
+def replicated(volume: Column) -> list[Column]:
+    """All volumes of the area tables from one measured volume; a metered unit has no line losses of its own."""
+    losses = ["uncorrected_line_loss_gwh", "corrected_line_loss_gwh"]
+    return [(F.lit(0.0) if c in losses else volume).alias(c) for c in VOLUMES]
+
+
 def big_demand(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Large transmission demand of every run, in the shape of the area tables."""
-    volume = F.col("volume_gwh")
-    losses = ["uncorrected_line_loss_gwh", "corrected_line_loss_gwh"]
     return big_demand_totals(big_demand_rows(raw, dictionary)).select(
         F.col("settlementdate").alias("date"),
         F.col("settlementruntype").alias("settlement_run"),
@@ -71,7 +79,7 @@ def big_demand(raw: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.lit("Non-domestic").alias("sector"),
         actual_estimate("estimateindicator").alias("actual_estimate"),
         peak("settlementperiod").alias("peak"),
-        *[(F.lit(0.0) if c in losses else volume).alias(c) for c in VOLUMES],
+        *replicated(F.col("volume_gwh")),
         F.lit(0).cast("bigint").alias("meters_count"),
     )
 

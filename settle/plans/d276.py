@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import all_present, in_ranges, lookup, peak, run_rank
-from settle.functions.text import compact_date, number
+from settle.functions.text import compact_date, integer, number, period, try_compact_date
 from settle.operators import factors, measures, runs
 from settle.session import bounded
 from settle.sources.codes import (
@@ -26,6 +26,10 @@ EXPORT_KEYS = [
 RAW_SUMS = ["a", "h", "m", "c", "meters_count"]
 
 
+# Fields that a row must not lose without a word.
+READABLE = {"zpd": try_compact_date, "pool": try_compact_date, "spx": integer}
+
+
 def parse(raw: DataFrame) -> DataFrame:
     return raw.select(
         compact_date("zpd").alias("date"),
@@ -33,7 +37,7 @@ def parse(raw: DataFrame) -> DataFrame:
         F.col("hdr").alias("settlement_run"),
         F.col("gsp").alias("gsp_area"),
         F.col("ccc").cast("int").alias("ccc"),
-        F.col("spx").cast("int").alias("settlement_period"),
+        period("spx").alias("settlement_period"),
         *[number(c).alias(c) for c in "ahmc"],
         F.col("ai").alias("meters_count"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from settle.functions.calendar import add_day_type
 from settle.functions.flags import all_present, lookup, peak, run_rank
-from settle.functions.text import compact_date, integer, number
+from settle.functions.text import compact_date, integer, number, try_compact_date
 from settle.operators import factors, measures, ranges, runs
 from settle.session import bounded
 from settle.sources.codes import PROFILE_SECTOR
@@ -39,6 +39,10 @@ KEYS = TOTAL_KEYS + ["peak", "sector"]
 QUALITIES = {"Estimate": ("estimate", "estimate_meters"), "Actual": ("advance", "advance_meters")}
 
 
+# Fields that a row must not lose without a word.
+READABLE = {"zpd": try_compact_date, "pool": try_compact_date}
+
+
 def parse(raw: DataFrame) -> DataFrame:
     return raw.select(
         compact_date("zpd").alias("date"),
@@ -127,11 +131,16 @@ def split_quality(df: DataFrame) -> DataFrame:
     return df.select(*KEYS, F.inline(F.array(*sides)))
 
 
+def with_consumption(df: DataFrame) -> DataFrame:
+    """Rows whose consumption is not zero; rows without any are left out too."""
+    return df.where(F.col("uncorrected_consumption_gwh") != 0)
+
+
 def in_area_shape(df: DataFrame) -> DataFrame:
     """Columns of the area tables; rows without consumption are left out."""
     total = F.col("corrected_consumption_gwh") + F.col("corrected_line_loss_gwh")
     plain = F.col("uncorrected_consumption_gwh") + F.col("uncorrected_line_loss_gwh")
-    return df.where(F.col("uncorrected_consumption_gwh") != 0).select(
+    return with_consumption(df).select(
         "date", "file_date", "settlement_run", "gsp_area", "settlement_period",
         F.lit("N").alias("aggregation_type"),
         F.col("profile_class").cast("string").alias("description"),

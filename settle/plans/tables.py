@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from settle.operators import measures
+from settle.operators import measures, rejects
 from settle.plans import c042, d276, d277, embedded, gross, levies, s014, units
 from settle.session import configure
 from settle.sources import files, xml
@@ -61,24 +61,41 @@ def unit_tables(store: Store, bm_units_folder: str) -> None:
     store.save(merged, "bmu_dictionary")
 
 
-def report_tables(store: Store) -> None:
+# Report table -> its fields that must be readable.
+REPORTS = {
+    "p315": d276.READABLE, "p315_p277": d277.READABLE, "p114_c0421": c042.READABLE, "p114_s01421": s014.READABLE,
+}
+
+
+def admitted_rows(store: Store, most: int) -> dict[str, DataFrame]:
+    """Report rows that can be read; the others are saved as `<report>_rejects`, up to `most` of each report."""
+    made = {}
+    for name, fields in REPORTS.items():
+        store.save(rejects.rejected(store.read(name), fields), f"{name}_rejects")
+        rejects.bound(store.read(f"{name}_rejects"), fields, most, name)
+        made[name] = rejects.admitted(store.read(name), fields)
+    return made
+
+
+def report_tables(store: Store, most_rejects: int = 0) -> None:
     """Half-hourly tables of the four reports."""
+    reports = admitted_rows(store, most_rejects)
     tlm, dictionary = store.read("tlm"), store.read("bmu_dictionary")
     calendar = working_calendar(store.read("holidays"))
     factors = [store.read(n) for n in ("tlm", "gcf", "pc", "llf")]
-    store.save(d276.demand_all_runs(store.read("p315"), tlm), "d276_hh_all_runs", "date")
-    store.save(d276.exports(store.read("p315"), tlm), "p315_embedded_sva", "date")
-    profiled = d277.demand_all_runs(store.read("p315_p277"), *factors, calendar)
+    store.save(d276.demand_all_runs(reports["p315"], tlm), "d276_hh_all_runs", "date")
+    store.save(d276.exports(reports["p315"], tlm), "p315_embedded_sva", "date")
+    profiled = d277.demand_all_runs(reports["p315_p277"], *factors, calendar)
     store.save(profiled, "d277_hh_all_runs", "date")
     for report in ("d276", "d277"):
         store.save(d276.last_run(store.read(f"{report}_hh_all_runs")), f"{report}_hh", "date")
         store.save(measures.day_totals(store.read(f"{report}_hh")), f"{report}_daily")
         store.save(measures.peak_totals(store.read(f"{report}_hh")), f"{report}_peak")
-    store.save(c042.latest_volumes(store.read("p114_c0421"), dictionary), "p114_c042", "settlementdate")
+    store.save(c042.latest_volumes(reports["p114_c0421"], dictionary), "p114_c042", "settlementdate")
     store.save(c042.embedded_units(store.read("p114_c042")), "p114_embedded_cva")
-    store.save(c042.big_demand(store.read("p114_c0421"), dictionary), "p114_big_demand_all")
+    store.save(c042.big_demand(reports["p114_c0421"], dictionary), "p114_big_demand_all")
     store.save(c042.big_demand_last_run(store.read("p114_big_demand_all")), "p114_big_demand_lr")
-    readings = store.read("p114_s01421")
+    readings = reports["p114_s01421"]
     store.save(s014.volumes_all_runs(readings, dictionary), "p114_s014_hh_all", "settlementdate")
     store.save(s014.volumes_last_run(readings, dictionary), "p114_s014_hh", "settlementdate")
 
@@ -103,10 +120,13 @@ def output_tables(store: Store) -> None:
     store.save(generation, "embedded_generation", "settlement_date")
 
 
-def run(spark: SparkSession, folder: str, landed: dict[str, str]) -> None:
-    """All steps; `landed` names the folders of tlm, gcf, llf, pc and bm_units."""
+def run(spark: SparkSession, folder: str, landed: dict[str, str], most_rejects: int = 0) -> None:
+    """All steps; `landed` names the folders of tlm, gcf, llf, pc and bm_units.
+
+    A report may have up to `most_rejects` rows whose date or period cannot be read.
+    """
     store = Store(configure(spark), folder)
     market_tables(store, landed)
     unit_tables(store, landed["bm_units"])
-    report_tables(store)
+    report_tables(store, most_rejects)
     output_tables(store)

@@ -77,20 +77,44 @@ def once(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+# A stored table is compressed: what its files hold is taken to be so many times larger in memory.
+EXPANSION = 4
+
+
 def size_of(df: DataFrame) -> int:
     """Bytes of all rows, written out as text."""
     return df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
 
 
+def file_bytes(df: DataFrame) -> int | None:
+    """Bytes of a stored table by its files, without a job; None if the rows come from more than one scan."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    if leaves.size() != 1 or leaves.head().nodeName() != "LogicalRelation":
+        return None
+    node = plan
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    if node.nodeName() != "LogicalRelation":
+        return None
+    return int(str(node.stats().sizeInBytes())) * EXPANSION
+
+
 def bounded(df: DataFrame, within: DataFrame | None = None) -> DataFrame:
     """Offer a join side for broadcast if its measured size is small.
 
     The side is computed once into the checkpoint folder and measured there. If
-    it cannot outgrow a stored table, that table is passed as `within` and
-    measured instead, and the side stays a plan. A larger side is returned
+    it cannot outgrow a stored table, that table is passed as `within` and the
+    side stays a plan: the table's files are measured, without a job, or its rows
+    where it is no plain scan. A larger side is returned
     without a hint: the join then shuffles both sides and adaptive execution
     splits hot keys.
     """
     limit = int(df.sparkSession.conf.get("settle.broadcastBytes", str(BROADCAST_BYTES))) // SIDES
-    side = once(df) if within is None else df
-    return F.broadcast(side) if size_of(side if within is None else within) <= limit else side
+    if within is None:
+        side = once(df)
+        size = size_of(side)
+    else:
+        side, stored = df, file_bytes(within)
+        size = size_of(within) if stored is None else stored
+    return F.broadcast(side) if size <= limit else side

@@ -7,13 +7,16 @@ known form, fails the load.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from settle import schemas
 from settle.functions.flags import lookup
 from settle.functions.text import any_date, plain_name
+from settle.session import bounded, stage
 from settle.sources.codes import BM_UNIT_COLUMNS, ZONE_AREA
 
 LLF_COLUMNS = [
@@ -31,7 +34,7 @@ def header_names(line: str, wanted: list[str], where: str) -> list[str]:
     def key(name: str) -> str:
         return plain_name(name).strip("_")
 
-    names = [key(name.strip('"\ufeff')) for name in line.rstrip("\r").split(",")]
+    names = [key(name) for name in next(csv.reader([line.lstrip("\ufeff").rstrip("\r")]))]
     known = {key(name): name for name in wanted}
     missing = [name for plain, name in known.items() if names.count(plain) != 1]
     if missing:
@@ -40,37 +43,63 @@ def header_names(line: str, wanted: list[str], where: str) -> list[str]:
     return [known.get(name, f"_other_{i}") for i, name in enumerate(names)]
 
 
+def file_headers(landed: DataFrame) -> DataFrame:
+    """First line that is not blank of each file: file, header.
+
+    Computed once and kept in the work folder, a row for each file.
+    """
+    lines = landed.where("_metadata.file_block_start = 0").where(F.trim("value") != "").select(
+        F.col("_metadata.file_path").alias("file"), F.struct(F.monotonically_increasing_id().alias("line"), "value").alias("top")
+    )
+    return stage(lines.groupBy("file").agg(F.min("top")["value"].alias("header")), "headers")
+
+
+def routed(landed: DataFrame, headers: DataFrame, layouts: dict[str, list[str]], wanted: list[str]) -> DataFrame:
+    """Fields of files with several layouts, from one scan: each line by the layout of its file."""
+    width = max(map(len, layouts.values()))
+    numbered = F.create_map(*[F.lit(v) for pair in enumerate(layouts) for v in reversed(pair)])
+    side = bounded(headers.select("file", "header", numbered[F.col("header")].alias("layout")), within=headers)
+    lines = landed.where(F.trim("value") != "").select("value", F.col("_metadata.file_path").alias("file")).join(side, "file")
+    fields = F.from_csv("value", ", ".join(f"_{i} string" for i in range(width)))
+    parsed = lines.where(F.col("value") != F.col("header")).select("layout", fields.alias("field"))
+
+    def of_layout(name: str) -> Column:
+        places = [F.when(F.col("layout") == i, F.col(f"field._{names.index(name)}")) for i, names in enumerate(layouts.values())]
+        return F.coalesce(*places).alias(name)
+
+    return parsed.select(*[of_layout(name) for name in wanted])
+
+
 def scan_csv_many(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """The columns of a schema from all CSV files below a folder, with plain lower-case names.
 
-    Files with the same header are read together. Usually all have the same, and
-    then this is one scan. Text that is not a number becomes null.
+    The layout of a file is its own first line. The first lines come from a pass
+    over the text; only the distinct ones reach the driver, never a list of
+    files. Then the data are one scan, whatever the layouts are: with one layout
+    Spark's CSV reader, with several the lines are joined to the layout of their
+    file. Text that is not a number becomes null; a line equal to its file's
+    header is no data.
     """
     def read():
         return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
 
     fields = StructType.fromDDL(schema).fields
     wanted = [plain_name(field.name) for field in fields]
-    lines = read().text(folder).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line")
-    ).where("_metadata.file_block_start = 0")
-    first = lines.groupBy("file").agg(F.min(F.struct("line", "value")).alias("top"))
-    layouts = first.groupBy("top.value").agg(F.collect_list("file").alias("files")).collect()
-    parts = []
-    for header, paths in layouts:
-        names = header_names(header, wanted, paths[0])
-        text = ", ".join(f"`{name}` string" for name in names)
-        source = folder if len(layouts) == 1 else paths
-        rows = read().schema(text).option("header", True).csv(source)
-        parts.append(rows.select(*[
-            F.col(name).try_cast(field.dataType).alias(name) for name, field in zip(wanted, fields, strict=True)
-        ]))
-    if not parts:
+    landed = read().text(folder)
+    headers = file_headers(landed)
+    firsts = headers.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").collect()
+    layouts = {row["header"]: header_names(row["header"], wanted, row["file"]) for row in firsts}
+    if not layouts:
         raise ValueError(f"{folder}: no CSV file with a header")
-    made = parts[0]
-    for part in parts[1:]:
-        made = made.unionByName(part)
-    return made
+    if len(layouts) == 1:
+        names = next(iter(layouts.values()))
+        text = ", ".join(f"`{name}` string" for name in names)
+        rows = read().schema(text).option("header", True).csv(folder)
+    else:
+        rows = routed(landed, headers, layouts, wanted)
+    return rows.select(*[
+        F.col(name).try_cast(field.dataType).alias(name) for name, field in zip(wanted, fields, strict=True)
+    ])
 
 
 def load_tlm(spark: SparkSession, folder: str) -> DataFrame:

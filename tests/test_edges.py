@@ -10,7 +10,7 @@ from settle.operators import factors, ranges, runs
 from settle.plans import c042, d276, embedded, levies, s014, units
 from settle.sources.codes import EXPORT_CLASSES, IMPORT_CLASSES, UNIT_CATEGORY
 from settle.sources.holidays import working_calendar
-from settle.sources.xml import parse_unit_xml
+from settle.sources.xml import parse_unit_xml, readable_payloads
 
 D = dt.date
 
@@ -298,7 +298,7 @@ def test_payload_with_several_units_and_a_broken_one(spark):
         '<bmunit bmunitid="B"><settlementperiod settlementperiod="1" gc="5" dc="6"/></bmunit></settlementdate></response>'
     )
     payloads = spark.createDataFrame([("fuel", "WIND", good), ("fuel", "GAS", "<html>no data"), ("fuel", "OIL", None)], "source string, type_code string, payload string")
-    rows = parse_unit_xml(payloads).collect()
+    rows = parse_unit_xml(readable_payloads(payloads)).collect()
     assert sorted((r.bmu_id, r.settlement_period, r.gc, r.dc) for r in rows if r.bmu_id == "B") == [("B", 1, 5.0, 6.0)]
     assert sorted((r.settlement_period, r.gc, r.dc) for r in rows if r.bmu_id == "A") == [(1, 1.0, 2.0), (2, 3.0, None)]
     assert {r.type_code for r in rows} == {"WIND"}

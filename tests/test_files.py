@@ -7,10 +7,10 @@ import pytest
 from settle import session
 from settle.checks.inputs import fresh_schema
 from settle.checks.registry import Inputs
-from settle.operators import runs
+from settle.operators import rejects, runs
 from settle.functions.flags import run_rank
-from settle.functions.text import any_date
-from settle.plans import c042, units
+from settle.functions.text import any_date, period
+from settle.plans import c042, d276, tables, units
 from settle.plans.tables import Store
 from settle.sources import files, xml
 
@@ -38,6 +38,96 @@ def test_missing_column_fails(spark, tmp_path):
         files.load_gcf(spark, str(tmp_path))
 
 
+def test_odd_names_and_quoted_headers(spark, tmp_path):
+    land(tmp_path, "my file.csv", "a,b\n1,x\n")
+    land(tmp_path, "100%20 sure/other.csv", '\ufeff"b","c, or d",a\r\n"y, z",9,2\r\n\r\n')
+    land(tmp_path, "blank first.csv", '\n"a",b,"q ""r"""\n3,w,0\n')
+    land(tmp_path, "empty.csv", "")
+    land(tmp_path, "header only.csv", "b,a\n")
+    made = files.scan_csv_many(spark, str(tmp_path), "a int, b string")
+    assert sorted(map(tuple, made.collect())) == [(1, "x"), (2, "y, z"), (3, "w")]
+    alone = tmp_path / "alone"
+    land(alone, "one % two.csv", 'a,"x, y",b\n5,0,v\n')
+    assert [tuple(r) for r in files.scan_csv_many(spark, str(alone), "a int, b string").collect()] == [(5, "v")]
+    land(tmp_path, "nothing/none.csv", "")
+    with pytest.raises(ValueError, match="no CSV"):
+        files.scan_csv_many(spark, str(tmp_path / "nothing"), "a int")
+
+
+@pytest.mark.parametrize("layouts", [1, 3])
+def test_a_thousand_files_are_one_scan(spark, tmp_path, layouts):
+    headers = ["a,b,c", "c,b,a", 'b,a,"c"']
+    for i in range(1000):
+        header = headers[i % layouts]
+        row = {"a": str(i), "b": f'"b, {i}"', "c": "x"}
+        land(tmp_path, f"{i % 7}/f {i}.csv", header + "\n" + ",".join(row[n.strip('"')] for n in header.split(",")) + "\n")
+    made = files.scan_csv_many(spark, str(tmp_path), "a int, b string")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") + plan.count("FileScan text") == 1
+    assert sorted(map(tuple, made.collect())) == [(i, f"b, {i}") for i in range(1000)]
+
+
+REPORT = "zpd string, pool string, hdr string, gsp string, ccc string, spx string, a string, h string, m string, c string, ai long"
+
+
+def reading(zpd, spx="1"):
+    return (zpd, "20200402", "SF", "_A", "1", spx, "1", "1", "1", "1", 1)
+
+
+def test_report_dates_are_read_or_fail(spark):
+    good = spark.createDataFrame([reading("20200401"), reading("2020-04-01"), reading("01/04/2020"), reading(None)], REPORT)
+    assert [r.date for r in d276.parse(good).collect()] == [DAY, DAY, DAY, None]
+    for bad in (reading("1st April"), reading("20200401", "one"), reading("20201301")):
+        with pytest.raises(Exception, match="no known form of date|no settlement period"):
+            d276.parse(spark.createDataFrame([bad], REPORT)).collect()
+    s014_rows = spark.createDataFrame([("T_A", "2020-04-01", "x")], "bmunitid string, settlementdate string, settlementperiod string")
+    with pytest.raises(Exception, match="no settlement period: x"):
+        s014_rows.select(period("settlementperiod")).collect()
+
+
+def test_rejects_are_listed_bounded_and_set_aside(spark, tmp_path):
+    raw = spark.createDataFrame([reading("20200401"), reading("soon"), reading("", "3"), reading("later", "two")], REPORT)
+    listed = {r.zpd: r.unreadable for r in rejects.rejected(raw, d276.READABLE).collect()}
+    assert listed == {"soon": ["zpd"], "later": ["zpd", "spx"]}
+    assert d276.parse(rejects.admitted(raw, d276.READABLE)).count() == 2
+    store = Store(spark, str(tmp_path))
+    for name in tables.REPORTS:
+        store.save(raw if name == "p315" else spark.createDataFrame([], ", ".join(f"{c} string" for c in tables.REPORTS[name])), name)
+    with pytest.raises(ValueError, match="p315: 2 rows cannot be read, 1 are allowed"):
+        tables.admitted_rows(store, 1)
+    assert tables.admitted_rows(store, 2)["p315"].count() == 2 and store.read("p315_rejects").count() == 2
+
+
+DAY_XML = '<response><settlementdate settlementdate="20200401">{}</settlementdate></response>'
+UNIT_XML = '<bmunit bmunitid="T_A"><settlementperiod settlementperiod="1" gc="2.0" dc="-1.0"/></bmunit>'
+
+
+@pytest.mark.parametrize("text", [DAY_XML.format(UNIT_XML)[:-30], "no xml at all", "", DAY_XML.format(UNIT_XML) + "tail", "{}"])
+def test_malformed_payloads_fail_or_are_listed(spark, text):
+    rows = [("fuel", DAY_XML.format(UNIT_XML)), ("grid", text), ("class", DAY_XML.format("")), ("none", None), ("bare", "<response/>\n")]
+    payloads = spark.createDataFrame(rows, "source string, payload string")
+    with pytest.raises(Exception, match="malformed payload"):
+        xml.parse_unit_xml(payloads).collect()
+    assert [r.source for r in xml.malformed_payloads(payloads).collect()] == ["grid"]
+    read = xml.parse_unit_xml(xml.readable_payloads(payloads)).collect()
+    assert [(r.source, r.settlement_date, r.bmu_id, r.gc) for r in read] == [("fuel", DAY, "T_A", 2.0)]
+    for parse in (xml.parse_party_list, xml.parse_unit_list):
+        with pytest.raises(Exception, match="malformed payload"):
+            parse(payloads.select("payload")).collect()
+
+
+def test_stored_tables_are_measured_without_a_job(spark, tmp_path):
+    spark.range(5000).selectExpr("id", "repeat('x', 50) AS text").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    side = table.where("id < 100").select("id")
+    assert session.file_bytes(table) >= 5000 and session.file_bytes(side) >= 5000
+    assert session.file_bytes(table.join(side, "id")) is None and session.file_bytes(spark.range(5)) is None
+    spark.sparkContext.setJobGroup("measured", "no job")
+    session.bounded(side, within=table)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("measured")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 LLF = "DISTRIBUTOR_BUSINESS_ID,MARKET_PARTICIPANT_ID,LLF_CLASS_ID,START_SETTLEMENT_DATE,END_SETTLEMENT_DATE,DAY_TYPE,VALUE,START_SETTLEMENT_PERIOD,END_SETTLEMENT_PERIOD\n"
 
 
