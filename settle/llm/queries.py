@@ -96,11 +96,15 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("_match_items", ","), 256).alias("items_sha256"),
         F.col("_match_contaminated").alias("contaminated"),
         F.col("_match_longest").cast("bigint").alias("longest"),
+        F.col("_match_longest_start").cast("bigint").alias("longest_start"),
+        F.col("_match_longest_item").alias("longest_item"),
     )
 
 
 # Words by place; windows of every length that items have; a word is hit if a
-# window that occurs begins at most its length before it.
+# window that occurs begins at most its length before it. Longest matches: pairs of
+# words that a document and an item share lie on a diagonal, and a run of them
+# without a gap is a match of one word more; single words count where no pair does.
 ORACLES["op5_decontaminate"] = """
 WITH item AS (
   SELECT item_id, w AS words, least(len(w), 13) AS k
@@ -122,15 +126,21 @@ word AS (SELECT rid, count(*) AS n FROM
   (SELECT DISTINCT rid, unnest(range(i, i + k)) AS place FROM (SELECT DISTINCT rid, k, i FROM hit)) GROUP BY rid),
 its AS (SELECT rid, list(DISTINCT CAST(item_id AS VARCHAR) ORDER BY CAST(item_id AS VARCHAR)) AS ids
   FROM hit GROUP BY rid),
-placed AS (SELECT DISTINCT rid, item_id, k, i FROM hit),
-run AS (SELECT rid, item_id, k, i, i - row_number() OVER (PARTITION BY rid, item_id ORDER BY i) AS part FROM placed),
-best AS (SELECT rid, max(n) AS longest FROM
-  (SELECT rid, max(i + k) - min(i) AS n FROM run GROUP BY rid, item_id, part) GROUP BY rid)
+line AS (SELECT row_number() OVER () AS iid, CAST(item_id AS VARCHAR) AS item_id, words FROM item),
+two AS (SELECT iid, j, words[j] AS a, words[j + 1] AS b FROM (SELECT iid, words, unnest(range(1, len(words))) AS j FROM line)),
+pair AS (SELECT rid, i, words[i] AS a, words[i + 1] AS b FROM (SELECT rid, words, unnest(range(1, len(words))) AS i FROM doc)),
+along AS (SELECT rid, iid, i, i - j AS diagonal, i - row_number() OVER (PARTITION BY rid, iid, i - j ORDER BY i) AS part
+  FROM pair JOIN two USING (a, b)),
+one AS (SELECT word, min(item_id) AS item_id FROM (SELECT item_id, unnest(words) AS word FROM line) GROUP BY word),
+runs AS (SELECT rid, item_id, count(*) + 1 AS n, min(i) - 1 AS start FROM along JOIN line USING (iid) GROUP BY rid, iid, item_id, diagonal, part
+  UNION ALL SELECT rid, item_id, 1, i - 1 FROM (SELECT rid, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM doc) JOIN one USING (word)),
+best AS (SELECT rid, n AS longest, start AS longest_start, item_id AS longest_item FROM runs
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n DESC, start, item_id NULLS LAST) = 1)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n, 0) AS n_hit,
   CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
   sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256,
   coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(words) AS contaminated,
-  CAST(coalesce(longest, 0) AS BIGINT) AS longest
+  CAST(coalesce(longest, 0) AS BIGINT) AS longest, CAST(longest_start AS BIGINT) AS longest_start, longest_item
 FROM doc LEFT JOIN word USING (rid) LEFT JOIN its USING (rid) LEFT JOIN best USING (rid)"""
 
 
@@ -240,7 +250,8 @@ WITH said AS (SELECT CAST(conv_id AS BIGINT) AS c, turn, coalesce(role, '') AS r
   FROM conversations WHERE conv_id IS NOT NULL),
 numbered AS (SELECT c, dense_rank() OVER (ORDER BY role, text) AS t, text, row_number() OVER (PARTITION BY c
     ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS i FROM said),
-words AS (SELECT DISTINCT t, len(regexp_extract_all(text, '[^ 	-]+')) AS n FROM numbered),
+words AS (SELECT DISTINCT t, len(regexp_extract_all(text, '[^ 	-
+]+')) AS n FROM numbered),
 conv AS (SELECT c, list(t ORDER BY i) AS ts, CAST(c AS VARCHAR) AS s FROM numbered GROUP BY c),
 part AS (SELECT c, ts, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, len(s) + 1),
     lambda i: [CAST(ascii(substr(s, i, 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),

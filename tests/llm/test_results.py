@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -87,6 +88,69 @@ def test_simhash_against_all_pairs(corpus, make):
     assert sorted(kept) == sorted(set(least.values()))
 
 
+def plain_longest(text, items):
+    """Longest run of words that a text shares with one item, by comparing all runs."""
+    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", text.translate({i: i + 32 for i in range(65, 91)}))
+    runs = {}
+    for item_id, item in items:
+        mine = re.findall(r"[0-9a-z\x80-\U0010ffff]+", item.translate({i: i + 32 for i in range(65, 91)}))
+        for a in range(len(mine)):
+            for b in range(a + 1, len(mine) + 1):
+                run = tuple(mine[a:b])
+                runs[run] = min(runs.get(run, str(item_id)), str(item_id))
+    for n in range(len(words), 0, -1):
+        for start in range(len(words) - n + 1):
+            if tuple(words[start : start + n]) in runs:
+                return n, start, runs[tuple(words[start : start + n])]
+    return 0, None, None
+
+
+@pytest.mark.parametrize("block_bytes", [2_000_000, 120])
+def test_longest_matches(corpus, make, monkeypatch, block_bytes):
+    draw = random.Random(8)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 3000)
+    monkeypatch.setattr(decontaminate, "KEPT_BYTES", block_bytes)
+    say = lambda n, alphabet: " ".join(draw.choice(alphabet) for _ in range(n))
+    few, many = ["a", "b"], [f"w{i}" for i in range(30)]
+    items = [(i, say(draw.randrange(0, 45), draw.choice([few, many]))) for i in range(50)] + [(9, "again the ninth"), (60, say(200, many))]
+    texts = [say(draw.randrange(0, 90), draw.choice([few, many, many + ["unknown", "Other"]])) for _ in range(60)]
+    for i in range(0, 40, 3):  # passages of items, some of them past 16 words and to the end of the text
+        words = items[draw.choice([5, 7, 11, 51])][1].split()
+        texts[i] += " " + " ".join(words[draw.randrange(0, 10) :])
+    texts += [texts[0], items[51][1], None, "", "Again, the NINTH?"]
+    found = decontaminate.findings(make(texts), corpus.createDataFrame(items, "item_id long, text string"), ["doc_id"])
+    if block_bytes == 120:
+        assert len(decontaminate.store_blocks(corpus.createDataFrame(items, "item_id long, text string")).collect()) >= 30
+    for r in found.collect():
+        want = plain_longest(texts[r.doc_id] or "", items)
+        assert (r._match_longest, r._match_longest_start, r._match_longest_item) == want, r.doc_id
+
+
+def test_windows_apart_are_no_longest_match(corpus, make):
+    run = " ".join(f"a{i}" for i in range(12))
+    benchmark = corpus.createDataFrame([(1, f"x {run} q z {run} y")], "item_id long, text string")
+    row = decontaminate.findings(make([f"x {run} y"]), benchmark, ["doc_id"]).first()
+    assert (row._match_longest, row._match_longest_start, row._match_longest_item) == (13, 0, "1")
+
+
+def test_long_copies_of_an_item_end(corpus, make):
+    passage = " ".join(f"v{i % 977}x{i % 13}" for i in range(20_000))
+    benchmark = corpus.createDataFrame([(1, passage), (2, passage)], "item_id long, text string")
+    start = time.time()
+    rows = decontaminate.findings(make([passage, "intro " + passage, passage + " tail"]), benchmark, ["doc_id"]).orderBy("doc_id").collect()
+    assert [(r._match_longest, r._match_longest_start, r._match_longest_item) for r in rows] == [(20_000, 0, "1"), (20_000, 1, "1"), (20_000, 0, "1")]
+    assert time.time() - start < 60
+
+
+def test_benchmark_is_not_in_the_driver_and_documents_are_read_once(corpus, make, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 50)
+    benchmark = corpus.createDataFrame([(i, f"some item number {i} of many") for i in range(60)], "item_id long, text string")
+    found = decontaminate.findings(store(make(["a b c"]), "once"), benchmark, ["doc_id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
 def test_windows_over_several_blocks(corpus, make, monkeypatch):
     items = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(6)]
     benchmark = corpus.createDataFrame([*items, (7, "short item")], "item_id long, text string")
@@ -96,6 +160,7 @@ def test_windows_over_several_blocks(corpus, make, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 200)
     cut = decontaminate.findings(documents, benchmark, ["doc_id"])
     columns = ["doc_id", "_match_n_words", "_match_n_hit", "_match_items", "_match_longest", "_match_contaminated"]
+    assert len(decontaminate.store_blocks(benchmark).collect()) == 6
     rows = sorted(map(tuple, cut.select(columns).collect()))
     assert rows == sorted(map(tuple, whole.select(columns).collect()))
     assert rows[0] == (0, 20, 20, ["1"], 20, True)
