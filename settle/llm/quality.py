@@ -143,13 +143,16 @@ def fit(marked: DataFrame, labels: DataFrame) -> Ensemble:
     drawn = store(learning.where(draw).select(*marked.columns, "_label").repartition(PARTS, "doc_id"), "quality_learning")
     totals = {row["_label"]: row["count"] for row in drawn.groupBy("_label").count().collect()}
     ones, every = totals.get(1.0, 0), sum(totals.values())
+    bare = Ensemble(float(np.log((ones + 1) / (every - ones + 1))), {})
     if ones in (0, every):
-        return Ensemble(float(np.log((ones + 1) / (every - ones + 1))), {})
+        return bare
     assembled = drawn.select(array_to_vector(features).alias("features"), F.col("_label").alias("label"))
     forest = RandomForestClassifier(
         numTrees=TREES, maxDepth=DEPTH, featureSubsetStrategy="onethird", subsamplingRate=0.8, seed=5, maxBins=64
     ).fit(assembled)
     rules = sorted({rule for tree in forest.trees for rule in tree_paths(tree.toDebugString)})
+    if not rules:  # no statistic tells the labels apart
+        return bare
     design = F.array(*[F.when(holds(rule), 1.0).otherwise(0.0) for rule in rules])
     ruled = drawn.select(array_to_vector(design).alias("features"), F.col("_label").alias("label"))
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=60, standardization=False).fit(ruled)

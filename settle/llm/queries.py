@@ -45,8 +45,10 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secrets.joined(F.col("_base")), 256).alias("base_sha256"),
         secrets.joined(every).alias("spans"),
         F.size("_live").cast("bigint").alias("n_live"),
-        "_n_copied",
-    ).withColumnRenamed("_n_copied", "n_copied")
+        F.col("_n_copied").alias("n_copied"),
+        F.col("_n_owners").alias("n_owners"),
+        F.col("_n_repositories").alias("n_repositories"),
+    )
 
 
 # Starts follow from the lengths of the pieces between the matches.
@@ -62,11 +64,11 @@ placed AS (SELECT rid, kind, rank, m, CASE kind WHEN 'assign' THEN regexp_extrac
   sum(length(g) + length(m)) OVER (PARTITION BY rid, kind ORDER BY i) AS e FROM each),
 base AS (SELECT rid, kind, rank, CAST(e - length(m) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, v FROM placed
   WHERE length(v) >= CASE kind WHEN 'assign' THEN 12 WHEN 'access' THEN 18 ELSE 16 END),
-owners AS (SELECT v, count(DISTINCT source) AS n FROM base JOIN doc USING (rid) GROUP BY v),
+owners AS (SELECT v, count(DISTINCT source) AS n, count(DISTINCT (source, doc_id)) AS r FROM base JOIN doc USING (rid) GROUP BY v),
 live AS (SELECT DISTINCT rid, 'live' AS kind, 3 AS rank, e - length(v) AS s, e
-  FROM base JOIN owners USING (v) WHERE n <= 3 AND len(list_distinct(string_split(v, ''))) >= 8),
+  FROM base JOIN owners USING (v) WHERE n <= 3 AND r <= 25 AND len(list_distinct(string_split(v, ''))) >= 8),
 per AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-  count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (n > 3) AS n_copied,
+  count(*) FILTER (kind = 'hex') AS n_hex, count(*) FILTER (n > 3 OR r > 25) AS n_copied, max(n) AS n_owners, max(r) AS n_repositories,
   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS joined
   FROM base JOIN owners USING (v) GROUP BY rid),
 al AS (SELECT rid, count(*) FILTER (kind = 'live') AS n_live,
@@ -74,7 +76,7 @@ al AS (SELECT rid, count(*) FILTER (kind = 'live') AS n_live,
   FROM (SELECT rid, kind, rank, s, e FROM base UNION ALL SELECT * FROM live) GROUP BY rid)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(joined, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
-  coalesce(n_copied, 0) AS n_copied
+  coalesce(n_copied, 0) AS n_copied, coalesce(n_owners, 0) AS n_owners, coalesce(n_repositories, 0) AS n_repositories
 FROM doc LEFT JOIN per USING (rid) LEFT JOIN al USING (rid)"""
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from settle.llm.common import chunks, store, texts_of
 from settle.llm.components import connected_components
+from settle.session import bounded
 
 SHINGLE = 3
 SEED = 42
@@ -154,15 +155,19 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """One document of each component: a row of the doc_id that names it.
 
     Rows that repeat the chosen doc_id and text count as one document. Of
-    different texts under the chosen doc_id one stays.
+    different texts under the chosen doc_id one stays. Rows are numbered in a
+    stored copy, and a small table of the numbers to keep decides: texts are
+    written once and never shuffled. Columns may have any names.
     """
     columns = documents.columns
-    text_key = F.xxhash64(F.coalesce("text", F.lit("")))
-    keyed = documents.select("doc_id", text_key.alias("_text_key"), "text")
-    marked = store(with_fingerprint(keyed, ["doc_id", "_text_key"]).withColumnRenamed("_fingerprint", "fp"), "simhash")
+    numbered = documents.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("kept"))
+    numbered = store(numbered, "simhash_rows")
+    keyed = numbered.select(
+        "row", F.col("kept.doc_id").alias("doc_id"), F.col("kept.text").alias("text"),
+        F.xxhash64(F.coalesce("kept.text", F.lit(""))).alias("text_key"),
+    )
+    marked = store(with_fingerprint(keyed, ["doc_id", "text_key", "row"]).withColumnRenamed("_fingerprint", "fp"), "simhash")
     named = marked.join(components(marked), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = named.groupBy("root").agg(F.min(F.struct("doc_id", "_text_key")).alias("own"))
-    chosen = chosen.select(F.col("own.doc_id").alias("_chosen_id"), F.col("own._text_key").alias("_chosen_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_chosen_id")) & (text_key == F.col("_chosen_key"))
-    kept = documents.join(chosen.distinct(), same)
-    return kept.dropDuplicates(["_chosen_id", "_chosen_key"]).select(*columns)
+    chosen = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_key", "row")).alias("own"))
+    rows = store(chosen.select(F.col("own.row").alias("row")).distinct(), "simhash_kept")
+    return numbered.join(bounded(rows, within=rows), "row", "left_semi").select("kept.*").select(*[f"`{c}`" for c in columns])
