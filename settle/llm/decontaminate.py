@@ -191,7 +191,7 @@ class Shard:
         """The block's words by this shard's numbers; words the shard lacks get numbers of their own."""
         known = pc.fill_null(pc.index_in(block.vocabulary, value_set=self.vocabulary), -1).to_numpy(zero_copy_only=False).astype(np.int64)
         number = np.where(known >= 0, known + 1, len(self.vocabulary) + 1 + np.arange(len(known)))
-        return np.where(block.tokens > 0, number[block.tokens - 1], -1) if len(number) else block.tokens
+        return np.where(block.tokens > 0, number[np.maximum(block.tokens - 1, 0)], -1) if len(number) else block.tokens
 
 
 def windows_in(shard: Shard, block: Block, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
