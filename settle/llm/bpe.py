@@ -16,13 +16,18 @@ block (consecutive documents of one task, of bounded size) lists each of its
 distinct words once, in buckets by a hash of the word; occurrences are numbers
 into that list. A word that makes up any share of the corpus is thus one entry
 for each block, and a bucket holds about the same number of words as any other.
+Buckets and tasks grow in number with the bytes of the texts, taken from the files
+of a stored table, so that a bucket stays within BUCKET_BYTES of text on average
+whatever the input; only a single word may be longer than that.
 
 The documents are read twice, once for the words and once for the positions;
 that is cheaper than storing either. Both passes must see the same rows in the
 same tasks, which holds for stored tables; a checksum of the block's words
 stops the job if they ever differ.
 
-Null texts are empty and have no ids. Repeated rows are encoded one by one.
+Null texts are empty and have no ids. Repeated rows are encoded one by one. An
+empty table gives no rows; a text of any length is in one block. Only the columns
+asked for are kept, in a struct, so their names cannot clash with those used here.
 """
 
 from __future__ import annotations
@@ -38,14 +43,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructType
 
+from settle.session import file_bytes
+
 BLOCK_CHARS = 14_000_000
+BUCKET_BYTES = 32 << 20  # text whose distinct words share a bucket
+TASK_BYTES = 128 << 20  # text whose words, or whose documents, share a task
 BUCKETS_PER_PARTITION = 4
 TEXTS_AT_ONCE = 500
-
+WORDS_AT_ONCE = 100_000
 
 CUT = re.compile(r" (?=\S)")
 
@@ -208,8 +217,11 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         spelled = b"".join(table.column("words").to_pylist())
         every = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, ends.buffers()[1], pa.py_buffer(spelled)])
         coded = every.dictionary_encode()
-        ids = [encode(word.decode("utf-8", "surrogatepass")) for word in coded.dictionary.to_pylist()]
-        found = pa.array(ids, pa.list_(pa.int32())).take(coded.indices)
+        distinct, made = coded.dictionary, [pa.array([], pa.list_(pa.int32()))]
+        for first in range(0, len(distinct), WORDS_AT_ONCE):
+            some = distinct.slice(first, WORDS_AT_ONCE).to_pylist()
+            made.append(pa.array([encode(word.decode("utf-8", "surrogatepass")) for word in some], pa.list_(pa.int32())))
+        found = pa.concat_arrays(made).take(coded.indices)
         sizes = pc.list_value_length(found).to_numpy().astype(np.int64)
         id_bounds = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         return pa.table({
@@ -252,13 +264,32 @@ def reassemble(numbered: DataFrame, coded: DataFrame) -> DataFrame:
     return numbered.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(run, schema)
 
 
+def bytes_of(documents: DataFrame) -> int:
+    """Bytes of the texts: taken from the files of a stored table, else summed by a job."""
+    stored = file_bytes(documents)
+    return stored if stored is not None else documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def shares(documents: DataFrame) -> tuple[int, int]:
+    """Numbers of buckets and of tasks, in proportion to the bytes of the texts."""
+    usual = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = bytes_of(documents)
+    return max(BUCKETS_PER_PARTITION * max(usual, 16), -(-size // BUCKET_BYTES)), max(usual, -(-size // TASK_BYTES))
+
+
+def spread(df: DataFrame, tasks: int, key: str) -> DataFrame:
+    """Rows of a key in one of `tasks` partitions, where those are more than the session's."""
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, key) if tasks > usual else df
+
+
 def encode(documents: DataFrame, vocabulary: Vocabulary, columns: list[str], ids: str = "ids") -> DataFrame:
     """`columns` of every document and the ids of its text."""
-    spark: SparkSession = documents.sparkSession
-    buckets = BUCKETS_PER_PARTITION * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 16)
+    buckets, tasks = shares(documents)
     source = documents.select(F.struct(*columns).alias("kept"), "text")
-    coded = encode_words(distinct_words(source, buckets), vocabulary)
-    return reassemble(sequences(source), coded).select("kept.*", F.col("ids").alias(ids))
+    coded = encode_words(spread(distinct_words(source, buckets), tasks, "bucket"), vocabulary)
+    numbered = sequences(source)
+    return reassemble(spread(numbered, tasks, "block"), spread(coded, tasks, "block")).select("kept.*", F.col("ids").alias(ids))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
