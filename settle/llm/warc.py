@@ -3,7 +3,8 @@
 `write_archives` writes records as WARC files that are one gzip stream each, as
 crawls are often handed over. `normalise` inflates such a file once from start
 to end, writes every record again as a gzip member of its own and lists the
-offsets in a sidecar file. `read_records` then reads single records by offset.
+offsets in a sidecar file. `read_index` reads the sidecars of finished files and
+`read_records` single records by their offsets.
 
 Files are written below a folder of the shared store. Each attempt of a task
 writes under a name of its own and returns the names of what it finished, and
@@ -16,7 +17,10 @@ Equal payloads of at least `LEAST_BYTES` are stored once: the record with the
 largest id is the response, the others are revisits that refer to it. Copies
 are found by digest, so a payload that makes up any share of the pages is one
 row for each task before it is shuffled. Rows that repeat the largest id are
-responses all. A null id gives way to any other; a null page is empty.
+responses all. A null id gives way to any other; a null page is empty. An empty
+table gives no archives and no rows. A very long page is one record, held once by
+the task that writes or reads it. Only page_id, url and html are read, so other
+columns cannot clash.
 """
 
 from __future__ import annotations
@@ -38,8 +42,10 @@ from settle.session import bounded, fresh_path
 LEAST_BYTES = 1000
 ARCHIVE_BYTES = 16_000_000
 READ_BYTES = 1 << 20
+BATCH_BYTES = 4_000_000  # payloads that a task returns at once
 FAST, USUAL = 1, 6  # compression levels of the handed-over and the normalised files
 VERSION = b"WARC/1.1"
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"  # records are the same on every attempt
 
 
@@ -59,6 +65,7 @@ def record_bytes(kind: str, name: str, target: str, digest: str, length: int, re
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         # A revisit has no payload of its own; its length is kept beside the digest.
         ("WARC-Payload-Length", str(length)),
+        *([("WARC-Profile", REVISIT_PROFILE)] if kind == "revisit" else []),
         *([("WARC-Refers-To", f"<urn:page:{refers_to}>")] if refers_to is not None else []),
         ("Content-Type", "text/html; charset=utf-8"),
         ("Content-Length", str(len(payload))),
@@ -189,35 +196,47 @@ def named(page_id: object) -> str:
     return "null" if page_id is None else str(page_id)
 
 
+MEMBERS = "file string, path string, records bigint"
 INDEX = "path string, start bigint, size bigint, record_id string"
 
 
 def normalise(files: DataFrame, folder: str) -> DataFrame:
-    """Rewrite each file with one gzip member a record and an index file beside it; returns the index, stored."""
+    """Rewrite each file with one gzip member a record and an index file beside it; returns the finished files, stored."""
+    spark = files.sparkSession
+    target, top = open_store(folder)
+    target.create_dir(top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store_, top = open_store(folder)
         for batch in batches:
             for source in batch.column("path").to_pylist():
-                store_.create_dir(top)
-                path, at, rows = f"{top}/{uuid.uuid4().hex}.warc.gz", 0, []
-                with store_.open_input_stream(source, compression=None) as stream, store_.open_output_stream(
-                    path, compression=None
-                ) as out:
+                name, at, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                path = f"{top}/{name}"
+                with (
+                    store_.open_input_stream(source, compression=None) as stream,
+                    store_.open_output_stream(path, compression=None) as out,
+                    store_.open_output_stream(f"{path}.idx", compression=None) as sidecar,
+                ):
                     for headers, _, whole in Reader(inflate(stream)):
                         member = gzip_member(whole, USUAL)
                         out.write(member)
-                        rows.append({"path": path, "start": at, "size": len(member), "record_id": headers["WARC-Record-ID"]})
-                        at += len(member)
-                with store_.open_output_stream(f"{path}.idx", compression=None) as out:
-                    for row in rows:
-                        out.write((json.dumps({k: row[k] for k in ("record_id", "start", "size")}) + "\n").encode())
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows)
+                        place = {"record_id": headers["WARC-Record-ID"], "start": at, "size": len(member)}
+                        sidecar.write((json.dumps(place) + "\n").encode())
+                        at, count = at + len(member), count + 1
+                yield pa.RecordBatch.from_pylist([{"file": f"{name}.idx", "path": path, "records": count}])
 
-    # A file is a unit of work: one row for each task that reads on.
-    spread = files.repartition(max(files.sparkSession.sparkContext.defaultParallelism, 1), "path")
-    return store(spread.mapInArrow(run, INDEX), "warc_index")
+    # A file is a unit of work: files are dealt one by one to as many tasks as can run at once.
+    tasks = max(spark.sparkContext.defaultParallelism, 1)
+    return store(files.select("path").repartition(tasks).mapInArrow(run, MEMBERS), "warc_members")
+
+
+def read_index(files: DataFrame, folder: str) -> DataFrame:
+    """The index of the finished files, from the sidecars in the folder. Others, left by lost attempts, are passed over."""
+    reader = files.sparkSession.read.schema("record_id string, start bigint, size bigint")
+    lines = reader.option("mode", "FAILFAST").option("pathGlobFilter", "*.idx").json(folder)
+    placed = lines.select("*", F.col("_metadata.file_name").alias("file"))
+    side = bounded(files.select("file", "path"), within=files)
+    return placed.join(side, "file").select("path", "start", "size", "record_id")
 
 
 RECORDS = "record_id string, kind string, digest string, length bigint, refers_to string, payload binary"
@@ -229,17 +248,25 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
     `payloads=False` leaves the payload out once it has been verified.
     """
 
+    schema = pa.schema([
+        ("record_id", pa.string()), ("kind", pa.string()), ("digest", pa.string()), ("length", pa.int64()),
+        ("refers_to", pa.string()), ("payload", pa.binary()),
+    ])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store_, _ = open_store(folder)
-        opened, stream = None, None
+        opened, stream, rows, held = None, None, [], 0
         for batch in batches:
-            rows = []
             for place in batch.to_pylist():
                 if place["path"] != opened:
+                    if stream is not None:
+                        stream.close()
                     opened, stream = place["path"], store_.open_input_file(place["path"])
                 stream.seek(place["start"])
                 whole = zlib.decompress(stream.read(place["size"]), wbits=31)
                 headers, payload, _ = next(iter(Reader(iter([whole]))))
+                if headers["WARC-Record-ID"] != place["record_id"]:
+                    raise ValueError(f"the index of {place['path']} does not belong to it")
                 digest = headers["WARC-Payload-Digest"].removeprefix("sha1:")
                 length = int(headers["WARC-Payload-Length"])
                 if headers["WARC-Type"] == "response" and (hashlib.sha1(payload).hexdigest(), len(payload)) != (digest, length):
@@ -250,10 +277,13 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
                     "length": length, "refers_to": None if refers is None else unnamed(refers),
                     "payload": payload if payloads else None,
                 })
+                held += len(payload) if payloads else 0
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
-                    ("record_id", pa.string()), ("kind", pa.string()), ("digest", pa.string()), ("length", pa.int64()),
-                    ("refers_to", pa.string()), ("payload", pa.binary())]))
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows, held = [], 0
 
     return index.mapInArrow(run, RECORDS)
 
@@ -269,4 +299,4 @@ def archive(pages: DataFrame) -> tuple[DataFrame, str]:
     spark = pages.sparkSession
     files = write_archives(records, fresh_path(spark, "warc_whole"))
     folder = fresh_path(spark, "warc_members")
-    return normalise(files, folder), folder
+    return read_index(normalise(files, folder), folder), folder

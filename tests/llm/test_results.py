@@ -1,10 +1,13 @@
 """Results of the operators against SQL, brute force, the library itself or held-out labels."""
 
+import gzip
 import hashlib
+import json
 import math
 import random
 import re
 import time
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -198,6 +201,41 @@ def test_warc_copies(corpus, tmp_path):
     assert len(read["8"].payload) == 3_000_003
 
 
+def test_warc_read_by_sidecars_alone(corpus, tmp_path):
+    pages = corpus.createDataFrame([(i, f"u{i % 3}", "x" * (700 * (i % 3))) for i in range(60)], "page_id long, url string, html string")
+    index, folder = warc.archive(pages)
+    # What a lost attempt leaves behind is not in the list of finished files.
+    store_, top = warc.open_store(folder)
+    with store_.open_output_stream(f"{top}/lost.warc.gz.idx", compression=None) as out:
+        out.write(b'{"record_id": "<urn:page:7>", "start": 0, "size": 9}\n')
+    assert index.count() == 60
+    found, profiles = {}, set()
+    for sidecar in Path(folder.removeprefix("file:")).glob("*.idx"):
+        if sidecar.name.startswith("lost"):
+            continue
+        archive = sidecar.with_suffix("").read_bytes()
+        for line in sidecar.read_text().splitlines():
+            place = json.loads(line)
+            record = gzip.decompress(archive[place["start"] : place["start"] + place["size"]])
+            ((headers, payload, _),) = warc.Reader(iter([record]))
+            assert headers["WARC-Record-ID"] == place["record_id"]
+            found[headers["WARC-Record-ID"]] = headers["WARC-Type"]
+            profiles.add((headers["WARC-Type"], headers.get("WARC-Profile")))
+    assert len(found) == 60 and list(found.values()).count("revisit") == 19
+    assert profiles == {("response", None), ("revisit", warc.REVISIT_PROFILE)}
+    corpus.createDataFrame([(p.path, p.start, p.size, "<urn:page:0>") for p in index.take(2)], warc.INDEX).createOrReplaceTempView("wrong")
+    with pytest.raises(Exception, match="does not belong"):
+        warc.read_records(corpus.table("wrong"), folder).collect()
+
+
+def test_warc_payloads_in_small_batches(corpus, monkeypatch):
+    pages = corpus.createDataFrame([(i, None, f"{i}" * 3000) for i in range(50)], "page_id long, url string, html string")
+    index, folder = warc.archive(pages)
+    monkeypatch.setattr(warc, "BATCH_BYTES", 5000)
+    got = {r.record_id: bytes(r.payload).decode() for r in warc.read_records(index, folder).collect()}
+    assert got == {str(i): f"{i}" * 3000 for i in range(50)}
+
+
 def test_warc_of_no_pages(corpus):
     index, folder = warc.archive(corpus.createDataFrame([], "page_id long, url string, html string"))
     assert warc.read_records(index, folder).count() == 0
