@@ -2,9 +2,10 @@
 
 import hashlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from settle.llm import bpe
+from settle.llm import bpe, nearest
 from settle.llm.common import store
 from settle.llm.queries import multilingual, token_digests
 
@@ -41,3 +42,25 @@ def test_many_tasks_give_the_same_ids(corpus, make, monkeypatch):
     decoded = {doc: digest for doc, _, _, digest in usual}
     for r in rows.collect():
         assert decoded[r.doc_id] == hashlib.sha256(r.text.encode()).hexdigest()
+
+
+def test_queries_go_to_cells_within_reach(corpus, monkeypatch):
+    """On clustered vectors a query's vector meets few cells, and the results are those of all pairs."""
+    monkeypatch.setattr(nearest, "SHARD_ROWS", 100)
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 50)
+    random_ = np.random.default_rng(9)
+    vectors = np.repeat(random_.normal(size=(40, 32)), 100, axis=0) + 0.01 * random_.normal(size=(4000, 32))
+    rows = corpus.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    stored, kept = nearest.store, {}
+    monkeypatch.setattr(nearest, "store", lambda df, name: kept.setdefault(name, stored(df, name)) if name == "nearest_cells" else stored(df, name))
+    got = nearest.nearest(rows, rows.vec_id % 20 == 0, 20, "vec_id", "embedding").toPandas()
+    cells = kept["nearest_cells"].groupBy("cell").agg(F.max("apart").alias("reach"), F.count("*").alias("n")).collect()
+    assert len(cells) > 20
+    codes = nearest.learn(vectors, 20)
+    # Cells are tight where vectors lie in clusters: far tighter than codes of different clusters are apart.
+    assert sorted(c.reach for c in cells)[len(cells) // 2] < codes.turns.shape[1] // 4
+    score = vectors[::20] @ vectors.T
+    score[np.arange(200), np.arange(0, 4000, 20)] = -np.inf
+    want = {(20 * i, int(j)) for i, row in enumerate(score) for j in np.argsort(-row)[:20]}
+    assert len(want & set(zip(got.query_id, got.id, strict=True))) / len(want) >= 0.9
+    assert got.groupby("query_id").size().eq(20).all()

@@ -361,9 +361,25 @@ def test_equal_and_unusable_vectors(corpus):
     by = {}
     for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
         by.setdefault(r.query_id, []).append((r.id, r.score))
+    # Two rows have the id 0 and each is a query; (105, [1.0]) counts as [1.0, 0.0]; the two rows of id 7 both are candidates.
     assert set(by) == {0, 20, 40, 100}
-    assert by[0] == [(106, 2.0), (1, 1.0), (2, 1.0), (3, 1.0), (4, 1.0)]
-    assert by[20] == [(106, 2.0), (0, 1.0), (1, 1.0), (2, 1.0), (3, 1.0)]
+    assert sorted(by[0]) == sorted(2 * [(7, 5.0), (106, 2.0), (0, 1.0), (1, 1.0), (2, 1.0)])
+    assert by[20] == [(7, 5.0), (106, 2.0), (0, 1.0), (0, 1.0), (1, 1.0)]
+    assert [r[0] for r in by[100]][:2] == [7, 106]
+
+
+def test_no_row_is_left_out(corpus):
+    random_ = random.Random(8)
+    rows = [(random_.randint(0, 60), [random_.choice([-1.0, 0.5, 2.0]) for _ in range(random_.randint(1, 6))]) for _ in range(300)]
+    table = corpus.createDataFrame(rows, "vec_id long, embedding array<double>")
+    # All rows are due, so the search goes on until it has every one.
+    got = nearest.nearest(table, F.col("vec_id") % 20 == 0, 400, "vec_id", "embedding").collect()
+    want = []
+    for i, (query, one) in enumerate(rows):
+        if query % 20 == 0:
+            scores = [(sum(a * b for a, b in zip(one, v, strict=False)), c) for j, (c, v) in enumerate(rows) if j != i]
+            want += [(query, rank, c, s) for rank, (s, c) in enumerate(sorted(scores, key=lambda r: (-r[0], r[1])), 1)]
+    assert sorted((r.query_id, r.rank, r.id, r.score) for r in got) == sorted(want)
 
 
 def test_few_vectors(corpus):
