@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +107,17 @@ def unpacked(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return numbers, np.searchsorted(ends, np.concatenate([[0], np.cumsum([len(p) for p in parts])]))
 
 
+def squeezed(parts: list[bytes]) -> pa.Array:
+    """Compressed parts; each is of many words, and less of it is left than where shuffled bytes are compressed."""
+    packer = zstandard.ZstdCompressor(level=1)
+    return pa.array([packer.compress(part) for part in parts], pa.binary())
+
+
+def expanded(parts: pa.ChunkedArray) -> list[bytes]:
+    opener = zstandard.ZstdDecompressor()
+    return [opener.decompress(part) for part in parts.to_pylist()]
+
+
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], int, list[bytes], list]]:
     """Blocks of a task's documents: name, distinct words, their checksum, packed numbers by text, kept columns."""
     task = TaskContext.get().partitionId()
@@ -175,9 +187,9 @@ def distinct_words(documents: DataFrame, buckets: int) -> DataFrame:
             n = len(used)
             yield pa.RecordBatch.from_arrays([
                 pa.array([name] * n), pa.array([check] * n, pa.int64()), pa.array(used),
-                pa.array(packed(steps, bounds)),
-                pa.array(packed(np.fromiter(map(len, spelled), dtype=np.int64), bounds)),
-                pa.array([b"".join(spelled[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]),
+                squeezed(packed(steps, bounds)),
+                squeezed(packed(np.fromiter(map(len, spelled), dtype=np.int64), bounds)),
+                squeezed([b"".join(spelled[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]),
             ], names=["block", "check", "bucket", "places", "lengths", "words"])
 
             # Workers are reused: what a block took goes back before the next task.
@@ -212,9 +224,9 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         encode = shared.value.encoding.encode_ordinary
-        lengths, bounds = unpacked(table.column("lengths").to_pylist())
+        lengths, bounds = unpacked(expanded(table.column("lengths")))
         ends = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
-        spelled = b"".join(table.column("words").to_pylist())
+        spelled = b"".join(expanded(table.column("words")))
         every = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, ends.buffers()[1], pa.py_buffer(spelled)])
         coded = every.dictionary_encode()
         distinct, made = coded.dictionary, [pa.array([], pa.list_(pa.int32()))]
@@ -226,8 +238,8 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         id_bounds = np.concatenate([[0], np.cumsum(sizes)])[bounds]
         return pa.table({
             "block": table.column("block"), "check": table.column("check"), "places": table.column("places"),
-            "sizes": pa.array(packed(sizes, bounds), pa.binary()),
-            "ids": pa.array(packed(found.flatten().to_numpy().astype(np.int64), id_bounds), pa.binary()),
+            "sizes": squeezed(packed(sizes, bounds)),
+            "ids": squeezed(packed(found.flatten().to_numpy().astype(np.int64), id_bounds)),
         })
 
     return words.groupBy("bucket").applyInArrow(
@@ -243,11 +255,11 @@ def reassemble(numbered: DataFrame, coded: DataFrame) -> DataFrame:
         checks = pc.unique(documents.column("check")).to_pylist() + pc.unique(words.column("check")).to_pylist()
         if len(set(checks)) > 1:
             raise ValueError("the documents changed between the two passes; store them first")
-        steps, bounds = unpacked(words.column("places").to_pylist())
+        steps, bounds = unpacked(expanded(words.column("places")))
         places = [np.cumsum(steps[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         places = np.concatenate(places) if places else steps
-        sizes, _ = unpacked(words.column("sizes").to_pylist())
-        ids = unpacked(words.column("ids").to_pylist())[0].astype(np.int32)
+        sizes, _ = unpacked(expanded(words.column("sizes")))
+        ids = unpacked(expanded(words.column("ids")))[0].astype(np.int32)
         # Start and length of each word's ids, by the word's number in the block.
         starts, lengths = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
         starts[places], lengths[places] = np.cumsum(sizes) - sizes, sizes
