@@ -76,9 +76,9 @@ class Numbers(dict):
             del pieces[0]
         return np.fromiter(map(self.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 
-    def words(self) -> list[bytes]:
-        spelled = (word[0] if type(word) is tuple else " " + word for word in self)
-        return [word.encode("utf-8", "surrogatepass") for word in spelled]
+    def words(self) -> Iterator[bytes]:
+        for word in self:
+            yield (word[0] if type(word) is tuple else " " + word).encode("utf-8", "surrogatepass")
 
 
 def packed(numbers: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -118,17 +118,16 @@ def expanded(parts: pa.ChunkedArray) -> list[bytes]:
     return [opener.decompress(part) for part in parts.to_pylist()]
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], int, list[bytes], list]]:
-    """Blocks of a task's documents: name, distinct words, their checksum, packed numbers by text, kept columns."""
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Numbers, int, list[bytes], list]]:
+    """Blocks of a task's documents: name, numbered words, their checksum, packed numbers by text, kept columns."""
     task = TaskContext.get().partitionId()
     numbers, sequences, kept, size, count = Numbers(), [], [], 0, 0
 
     def done():
-        words = numbers.words()
         check = 0
-        for word in words:
+        for word in numbers.words():
             check = zlib.crc32(word, check)
-        return f"{task}-{count}", words, check, sequences, kept
+        return f"{task}-{count}", numbers, check, sequences, kept
 
     for batch in batches:
         start = 0
@@ -161,6 +160,7 @@ class Vocabulary:
     def encoding(self) -> tiktoken.Encoding:
         return tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks, special_tokens={})
 
+    @cached_property
     def token_bytes(self) -> pa.Array:
         """Bytes by id; ids without a token are null."""
         by_id: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
@@ -173,7 +173,10 @@ def distinct_words(documents: DataFrame, buckets: int) -> DataFrame:
     """Distinct words of each block, one row for each bucket: places in the block, lengths, and the words themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, words, check, _, _ in blocks(batches):
+        for name, numbers, check, texts, _ in blocks(batches):
+            texts.clear()
+            words = list(numbers.words())
+            numbers.clear()  # the words alone are needed from here on
             if not words:
                 continue
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), dtype=np.int32, count=len(words))
@@ -204,7 +207,8 @@ def sequences(documents: DataFrame) -> DataFrame:
     """The packed word numbers of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, check, numbers, kept in blocks(batches):
+        for name, words, check, numbers, kept in blocks(batches):
+            words.clear()
             n = len(numbers)
             columns = pa.chunked_array(kept).combine_chunks()
             yield pa.RecordBatch.from_arrays(
@@ -247,8 +251,27 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     )
 
 
-def reassemble(numbered: DataFrame, coded: DataFrame) -> DataFrame:
-    """kept and ids of every document, from its word numbers and the ids of its block's words."""
+def spelled_out(lists: pa.ListArray, token_bytes: pa.Array) -> pa.Array:
+    """The bytes that lists of ids stand for; null lists have none. An id without a token is an error."""
+    flat = token_bytes.take(lists.flatten())
+    if flat.null_count:
+        raise ValueError("an id has no token")
+    # Tokens lie one after the other: a document's bytes run from its first token to its last.
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    _, offsets, data = flat.buffers()
+    bounds = np.frombuffer(offsets, dtype=np.int64)[flat.offset : flat.offset + len(flat) + 1][ends]
+    return pa.Array.from_buffers(
+        pa.large_binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(bounds)), data or pa.py_buffer(b"")]
+    ).cast(pa.binary())
+
+
+def reassemble(numbered: DataFrame, coded: DataFrame, decoder: Vocabulary | None = None) -> DataFrame:
+    """kept and ids of every document, from its word numbers and the ids of its block's words.
+
+    With a decoder the ids are also decoded, to `decoded`.
+    """
+    shared = decoder and numbered.sparkSession.sparkContext.broadcast(decoder)
 
     def run(documents: pa.Table, words: pa.Table) -> pa.Table:
         numbers = documents.column("numbers").to_pylist()
@@ -270,9 +293,14 @@ def reassemble(numbered: DataFrame, coded: DataFrame) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(length)])
             flat = ids[np.repeat(starts[sequence] - ends[:-1], length) + np.arange(ends[-1])]
             made.append(pa.ListArray.from_arrays(pa.array(ends[bounds].astype(np.int32)), pa.array(flat)))
-        return pa.table({"kept": documents.column("kept"), "ids": pa.chunked_array(made)})
+        columns = {"kept": documents.column("kept"), "ids": pa.chunked_array(made)}
+        if shared:
+            columns["decoded"] = pa.chunked_array([spelled_out(part, shared.value.token_bytes) for part in made])
+        return pa.table(columns)
 
     schema = StructType().add("kept", numbered.schema["kept"].dataType).add("ids", ArrayType(IntegerType()))
+    if decoder:
+        schema = schema.add("decoded", BinaryType())
     return numbered.groupBy("block").cogroup(coded.groupBy("block")).applyInArrow(run, schema)
 
 
@@ -295,13 +323,25 @@ def spread(df: DataFrame, tasks: int, key: str) -> DataFrame:
     return df.repartition(tasks, key) if tasks > usual else df
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, columns: list[str], ids: str = "ids") -> DataFrame:
-    """`columns` of every document and the ids of its text."""
+def assembled(documents: DataFrame, vocabulary: Vocabulary, columns: list[str], decoder: Vocabulary | None = None) -> DataFrame:
     buckets, tasks = shares(documents)
     source = documents.select(F.struct(*columns).alias("kept"), "text")
     coded = encode_words(spread(distinct_words(source, buckets), tasks, "bucket"), vocabulary)
     numbered = sequences(source)
-    return reassemble(spread(numbered, tasks, "block"), spread(coded, tasks, "block")).select("kept.*", F.col("ids").alias(ids))
+    return reassemble(spread(numbered, tasks, "block"), spread(coded, tasks, "block"), decoder)
+
+
+def encode(documents: DataFrame, vocabulary: Vocabulary, columns: list[str], ids: str = "ids") -> DataFrame:
+    """`columns` of every document and the ids of its text."""
+    return assembled(documents, vocabulary, columns).select("kept.*", F.col("ids").alias(ids))
+
+
+def round_trip(
+    documents: DataFrame, vocabulary: Vocabulary, columns: list[str], ids: str = "ids", decoded: str = "decoded"
+) -> DataFrame:
+    """As `decode` after `encode`. The task that puts the ids together decodes them: one Python worker, not two."""
+    made = assembled(documents, vocabulary, columns, vocabulary)
+    return made.select("kept.*", F.col("ids").alias(ids), F.col("decoded").alias(decoded))
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -311,20 +351,8 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", decoded
     at = names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value.token_bytes()
         for batch in batches:
-            lists = batch.column(at)
-            flat = table.take(lists.flatten())
-            if flat.null_count:
-                raise ValueError("an id has no token")
-            # Tokens lie one after the other: a document's bytes run from its first token to its last.
-            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(lengths)])
-            _, offsets, data = flat.buffers()
-            bounds = np.frombuffer(offsets, dtype=np.int64)[flat.offset : flat.offset + len(flat) + 1][ends]
-            made = pa.Array.from_buffers(
-                pa.large_binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(bounds)), data or pa.py_buffer(b"")]
-            ).cast(pa.binary())
+            made = spelled_out(batch.column(at), shared.value.token_bytes)
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, decoded])
 
     schema = encoded.select("*").schema.add(decoded, BinaryType())

@@ -147,8 +147,9 @@ FROM doc LEFT JOIN word USING (rid) LEFT JOIN its USING (rid) LEFT JOIN best USI
 
 
 def token_digests(encoded: DataFrame, vocabulary: bpe.Vocabulary) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids and of what they decode to."""
-    return bpe.decode(encoded, vocabulary).select(
+    """doc_id, n_tokens and digests of the ids and of what they decode to; decodes them unless that is done."""
+    decoded = encoded if "decoded" in encoded.columns else bpe.decode(encoded, vocabulary)
+    return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
@@ -212,7 +213,7 @@ def multilingual() -> bpe.Vocabulary:
 
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = multilingual()
-    return token_digests(bpe.encode(table(spark, folder, "documents"), vocabulary, ["doc_id"]), vocabulary)
+    return token_digests(bpe.round_trip(table(spark, folder, "documents"), vocabulary, ["doc_id"]), vocabulary)
 
 
 def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:

@@ -39,6 +39,7 @@ def test_many_tasks_give_the_same_ids(corpus, make, monkeypatch):
     plan = encoded._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 3  # words by bucket, and both sides by block
     assert sorted(map(tuple, token_digests(encoded, vocabulary).collect())) == usual
+    assert sorted(map(tuple, token_digests(bpe.round_trip(rows, vocabulary, ["doc_id"]), vocabulary).collect())) == usual
     decoded = {doc: digest for doc, _, _, digest in usual}
     for r in rows.collect():
         assert decoded[r.doc_id] == hashlib.sha256(r.text.encode()).hexdigest()
