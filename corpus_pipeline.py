@@ -42,7 +42,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document that is left, with digests of ids and decoded bytes."""
     prepare(spark)
     vocabulary = multilingual()
-    return token_digests(bpe.encode(docs, vocabulary, ["doc_id"]), vocabulary)
+    return token_digests(bpe.round_trip(docs, vocabulary, ["doc_id"]), vocabulary)
 
 
 STAGES = [
