@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,6 +62,11 @@ def any_date(col: str | Column) -> Column:
     return strict(col, try_date(col), "date", "no known form of date")
 
 
+def date_of(df: DataFrame, col: str) -> Column:
+    """A column of dates as it is, so that filters on it reach the scan; any other as of `any_date`."""
+    return F.col(col) if df.select(col).dtypes[0][1] == "date" else any_date(col)
+
+
 def period(col: str) -> Column:
     """Settlement period as a number; other text fails the job."""
     return strict(col, integer(col), "int", "no settlement period")

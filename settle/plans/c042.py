@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import actual_estimate, all_present, peak, run_rank
-from settle.functions.text import any_date, integer, number, period, player, try_date
+from settle.functions.text import date_of, integer, number, period, player, try_date
 from settle.operators import ranges, runs
 from settle.operators.measures import VOLUMES
 from settle.plans import units
@@ -26,7 +26,7 @@ READABLE = {"settlementdate": try_date, "settlementperiod": integer}
 
 def parse(raw: DataFrame) -> DataFrame:
     parsed = raw.drop(*UNUSED).withColumns({
-        "settlementdate": any_date("settlementdate"),
+        "settlementdate": date_of(raw, "settlementdate"),
         "settlementperiod": period("settlementperiod"),
         "metervolume": number("metervolume"),
         "player": player("bmunitid"),

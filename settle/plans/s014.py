@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import import_export, run_rank
-from settle.functions.text import any_date, integer, number, period, player, try_date
+from settle.functions.text import date_of, integer, number, period, player, try_date
 from settle.operators import runs
 from settle.plans import units
 from settle.session import bounded
@@ -25,7 +25,7 @@ READABLE = {"settlementdate": try_date, "settlementperiod": integer}
 
 def parse(raw: DataFrame) -> DataFrame:
     parsed = {c: number(c) for c in NUMBERS}
-    parsed["settlementdate"] = any_date("settlementdate")
+    parsed["settlementdate"] = date_of(raw, "settlementdate")
     parsed["settlementperiod"] = period("settlementperiod")
     return raw.drop(*UNUSED).withColumns(parsed)
 

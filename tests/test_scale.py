@@ -8,7 +8,7 @@ from settle.checks.compare import spark_rows
 from settle.checks.registry import Inputs
 from settle.functions.flags import run_rank
 from settle.operators import runs
-from settle.plans import d276, s014
+from settle.plans import c042, d276, s014
 from settle.session import SIDES, bounded, size_of
 from settle.sources.tables import scan_table, sink_table
 
@@ -77,6 +77,14 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "delivering" not in text
 
 
+def test_dates_are_filtered_in_the_scan(spark):
+    tables = Inputs(spark, FOLDER)
+    as_dates = c042.parse(tables.raw_c042)
+    assert "GreaterThanOrEqual(settlementdate" in explained(as_dates)
+    as_text = c042.parse(tables.raw_c042.withColumn("settlementdate", F.date_format("settlementdate", "dd/MM/yyyy")))
+    assert as_text.exceptAll(as_dates).count() == 0 == as_dates.exceptAll(as_text).count()
+
+
 def test_half_hours_are_summed_where_they_are_made(spark):
     t = Inputs(spark, FOLDER)
     text = plan(inputs.d277_all(t))
