@@ -8,3 +8,6 @@ FOLDER = "/root/testdata/sf0.001"
 def test_rows_of_the_flows_are_returned_singly(spark):
     """Neither summed over nor cut down to some columns' groups."""
     assert QUERIES["proj_replicate"](spark, FOLDER).count() == QUERIES["flow_big_demand"](spark, FOLDER).count()
+    nonzero = QUERIES["filter_nonzero"](spark, FOLDER)
+    assert "settlement_period" in nonzero.columns
+    assert nonzero.count() == QUERIES["flow_d277"](spark, FOLDER).count()
