@@ -1,13 +1,38 @@
 """Reports of large tables: whole rows, and little that is moved for them."""
 
+import pytest
+
 from settle.checks.all_queries import QUERIES
+from settle.checks.registry import REPORTS, Inputs
 
 FOLDER = "/root/testdata/sf0.001"
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rows_of_the_flows_are_returned_singly(spark):
     """Neither summed over nor cut down to some columns' groups."""
     assert QUERIES["proj_replicate"](spark, FOLDER).count() == QUERIES["flow_big_demand"](spark, FOLDER).count()
     nonzero = QUERIES["filter_nonzero"](spark, FOLDER)
     assert "settlement_period" in nonzero.columns
     assert nonzero.count() == QUERIES["flow_d277"](spark, FOLDER).count()
+
+
+@pytest.fixture
+def many_blocks(tmp_path, spark):
+    for name, parts in {"lineitem": 16, "orders": 1, "supplier": 1, "nation": 1}.items():
+        rows = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        rows.repartition(parts).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_reports_of_many_blocks_are_stored_as_they_are_dealt(spark, many_blocks):
+    few, many = Inputs(spark, FOLDER), Inputs(spark, many_blocks)
+    assert {"raw_d276", "raw_d277", "raw_c042", "raw_s014"} == REPORTS
+    for name in REPORTS:
+        assert "Exchange" in plan(few._spread(name, few._plan(name)))
+        assert "Exchange" not in plan(many._spread(name, many._plan(name)))
+    stored = [sorted(map(repr, t.raw_d277.collect())) for t in (few, many)]
+    assert stored[0] == stored[1]
