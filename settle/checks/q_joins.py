@@ -56,11 +56,13 @@ PROFILE_KEYS = ["profile_class", "gsp_area", "configuration", "regime", "date"]
     AND p.configuration = r.configuration AND p.regime = r.regime AND p.date = r.date GROUP BY ALL""",
 )
 def join_profile_coef(t):
-    joined = d277.parse(t.raw_d277).join(factors.day_profiles(t.raw_pc), PROFILE_KEYS)
-    spread = joined.select(*PROFILE_KEYS, F.posexplode("shares").alias("place", "pc"))
+    """Rows of the same profile and day are counted before they grow into periods."""
+    counted = d277.parse(t.raw_d277).groupBy(*PROFILE_KEYS).agg(F.count("*").alias("rows"))
+    joined = counted.join(factors.day_profiles(t.raw_pc), PROFILE_KEYS)
+    spread = joined.select(*PROFILE_KEYS, "rows", F.posexplode("shares").alias("place", "pc"))
     shown = spread.where(F.col("pc").isNotNull()).withColumn("settlement_period", F.col("place") + 1)
     return shown.groupBy(*PROFILE_KEYS, "settlement_period").agg(
-        F.count("*").alias("n"), F.sum("pc").alias("share")
+        F.sum("rows").alias("n"), F.sum(F.col("rows") * F.col("pc")).alias("share")
     )
 
 

@@ -36,3 +36,10 @@ def test_reports_of_many_blocks_are_stored_as_they_are_dealt(spark, many_blocks)
         assert "Exchange" not in plan(many._spread(name, many._plan(name)))
     stored = [sorted(map(repr, t.raw_d277.collect())) for t in (few, many)]
     assert stored[0] == stored[1]
+
+
+def test_profile_rows_are_counted_before_they_grow(spark):
+    text = plan(QUERIES["join_profile_coef"](spark, FOLDER))
+    grown = text.index("Generate posexplode")
+    assert "HashAggregate" in text[grown:]
+    assert "partial_count(1)" in text[grown:] and "partial_count(1)" not in text[:grown]
