@@ -57,6 +57,16 @@ def compact_date(col: str) -> Column:
     return strict(col, try_compact_date(col), "date", "no known form of date")
 
 
+def made_once(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows, with the named columns computed before any condition on them.
+
+    Conditions move below the parsing and would repeat it, several times a row
+    for a date; they stop at a generated column. Conditions on others do not.
+    """
+    others = [c for c in df.columns if c not in names]
+    return df.select(*others, F.inline(F.array(F.struct(*names)))).select(*df.columns)
+
+
 def any_date(col: str | Column) -> Column:
     """Date as of `try_date`; other text fails the job. Blank text is null."""
     return strict(col, try_date(col), "date", "no known form of date")

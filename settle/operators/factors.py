@@ -130,7 +130,7 @@ def expand_periods(df: DataFrame) -> DataFrame:
     first = F.greatest(F.col("first_period"), F.lit(1))
     last = F.least(F.col("last_period"), F.lit(PERIODS))
     part = F.slice("periods", first, F.greatest(last - first + 1, F.lit(0)))
-    spread = df.where(F.col("llf").isNotNull()).select(
+    spread = df.select(
         *[c for c in df.columns if c != "periods"],
         F.posexplode(part).alias("_place", "_period"),
     )

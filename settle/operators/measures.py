@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ DAY_KEYS = [
     "description", "sector", "actual_estimate",
 ]
 
-PROFILE_MEASURES = {"eac": "f", "advance": "h", "unmetered": "j"}
+PROFILE_MEASURES = {"eac": ["f"], "advance": ["h"], "unmetered": ["j"]}
+
+# Annual measures that take line losses.
+LOSSY = ["f", "h", "j"]
 
 
 def zero_if_null(col: Column) -> Column:
@@ -60,20 +65,19 @@ def add_totals(df: DataFrame) -> DataFrame:
     return df.withColumns(parts)
 
 
-def profile_volumes(df: DataFrame, names: dict[str, Column | str]) -> DataFrame:
-    """Four volumes for each annual measure: plain and corrected, with losses.
+def profile_volumes(df: DataFrame, names: dict[str, list[str]]) -> DataFrame:
+    """Four volumes for the annual measures of a name together: plain and corrected, with losses.
 
     Needs `pc` (share of the period), `factor` (grid correction times loss
-    multiplier) and `llf` (line-loss factor).
+    multiplier) and the line loss of each measure (`f_lost` of `f`).
     """
-    loss = F.col("llf") - 1
     made = {}
-    for name, measure in names.items():
-        annual = F.col(measure) if isinstance(measure, str) else measure
+    for name, annual in names.items():
+        whole = reduce(Column.__add__, [F.col(c) for c in annual])
+        lost = reduce(Column.__add__, [F.col(f"{c}_lost") for c in annual])
         for prefix, share in (("", F.col("pc")), ("corrected_", F.col("pc") * F.col("factor"))):
-            volume = annual / 1000 * share
-            made[f"{prefix}{name}_gwh"] = volume
-            made[f"{prefix}{name}_loss_gwh"] = volume * loss
+            made[f"{prefix}{name}_gwh"] = whole / 1000 * share
+            made[f"{prefix}{name}_loss_gwh"] = lost / 1000 * share
     return df.withColumns(made)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from settle.functions.calendar import add_day_type
 from settle.functions.flags import all_present, lookup, peak, run_rank
-from settle.functions.text import compact_date, integer, number, try_compact_date
+from settle.functions.text import compact_date, integer, made_once, number, try_compact_date
 from settle.operators import factors, measures, ranges, runs
 from settle.session import bounded
 from settle.sources.codes import PROFILE_SECTOR
@@ -35,6 +35,9 @@ DAY_KEYS = [key for key in TOTAL_KEYS if key != "settlement_period"]
 # Peak follows from the period and sector from the class, so they are no keys.
 KEYS = TOTAL_KEYS + ["peak", "sector"]
 
+# Rows of these keys have the same profile in the same periods.
+BAND_KEYS = DAY_KEYS + ["configuration", "regime", "first_period", "last_period"]
+
 # Quality -> source of volumes and of the meter count.
 QUALITIES = {"Estimate": ("estimate", "estimate_meters"), "Actual": ("advance", "advance_meters")}
 
@@ -44,7 +47,7 @@ READABLE = {"zpd": try_compact_date, "pool": try_compact_date}
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    parsed = raw.select(
         compact_date("zpd").alias("date"),
         compact_date("pool").alias("file_date"),
         F.col("hdr").alias("settlement_run"),
@@ -56,6 +59,7 @@ def parse(raw: DataFrame) -> DataFrame:
         integer("e").alias("regime"),
         *[number(c).alias(c) for c in MEASURES],
     )
+    return made_once(parsed, "date")
 
 
 def add_sector(df: DataFrame) -> DataFrame:
@@ -64,7 +68,7 @@ def add_sector(df: DataFrame) -> DataFrame:
 
 def complete_rows(df: DataFrame) -> DataFrame:
     """Rows with every field present, each once."""
-    return df.where(all_present(*df.columns)).dropDuplicates()
+    return made_once(df, "file_date").where(all_present(*df.columns)).dropDuplicates()
 
 
 def annual_sums(rows: DataFrame) -> DataFrame:
@@ -78,19 +82,33 @@ def annual_sums(rows: DataFrame) -> DataFrame:
     return sums.repartition(*DAY_KEYS)
 
 
-def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Profile shares and correction factors of a day, with its day type."""
-    days = add_day_type(factors.day_factors(tlm, gcf), calendar, "date", "day_type")
+def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame) -> DataFrame:
+    """Profile shares and correction factors of a day."""
+    days = factors.day_factors(tlm, gcf)
     return factors.period_shares(factors.day_profiles(pc).join(days, ["date", "gsp_area"]))
 
 
+def band_sums(rows: DataFrame, bands: DataFrame) -> DataFrame:
+    """Measures summed over rows that share profile and band of periods.
+
+    A loss factor holds for all periods of its band, so line losses are summed as
+    `f_lost` and so on; loss classes and distributors then need no half hours of
+    their own.
+    """
+    joined = factors.join_loss_bands(rows, bands).where(F.col("llf").isNotNull())
+    lost = [F.sum(F.col(c) * (F.col("llf") - 1)).alias(f"{c}_lost") for c in measures.LOSSY]
+    return joined.groupBy(*BAND_KEYS).agg(*measures.sums(*"fghijk"), *lost)
+
+
 def half_hours(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
     """Complete rows spread over the periods that have all factors."""
     # Factors are unique by date and area, so a coefficient row stays one row.
-    shares = bounded(day_shares(tlm, gcf, pc, calendar), within=pc)
+    shares = bounded(day_shares(tlm, gcf, pc), within=pc)
     bands = bounded(factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date")))
-    joined = rows.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
-    return factors.expand_periods(factors.join_loss_bands(joined, bands))
+    sums = band_sums(add_day_type(rows, calendar, "date", "day_type"), bands)
+    joined = sums.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
+    # Moves nothing where both sides were sent around: the rows still lie as `annual_sums` left them.
+    return factors.expand_periods(joined.repartition(*DAY_KEYS))
 
 
 def profile_totals(df: DataFrame) -> DataFrame:
@@ -99,7 +117,7 @@ def profile_totals(df: DataFrame) -> DataFrame:
     Unmetered volume is estimated as well, so it is added to the estimate.
     """
     shaped = measures.profile_volumes(
-        df, {"estimate": F.col("f") + F.col("j"), "advance": "h"}
+        df, {"estimate": ["f", "j"], "advance": ["h"]}
     )
     volumes = [
         f"{prefix}{name}{part}_gwh"
@@ -167,7 +185,7 @@ def demand_all_runs(raw, tlm, gcf, pc, llf, calendar) -> DataFrame:
     rows = parse(raw)
     rank = run_rank("settlement_run")
     # Incomplete rows take part in the choice of the run.
-    best = runs.latest_rank(rows, runs.DAY, rank)
+    best = bounded(runs.latest_rank(rows, runs.DAY, rank))
     return runs.flag_last_run(demand(rows, tlm, gcf, pc, llf, calendar), best, runs.DAY, rank)
 
 

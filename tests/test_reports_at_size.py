@@ -2,8 +2,11 @@
 
 import pytest
 
+from settle.checks import inputs
 from settle.checks.all_queries import QUERIES
 from settle.checks.registry import REPORTS, Inputs
+from settle.operators import measures
+from settle.plans import d277
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -43,3 +46,25 @@ def test_profile_rows_are_counted_before_they_grow(spark):
     grown = text.index("Generate posexplode")
     assert "HashAggregate" in text[grown:]
     assert "partial_count(1)" in text[grown:] and "partial_count(1)" not in text[:grown]
+
+
+def test_conditions_do_not_repeat_the_reading_of_dates(spark):
+    t = Inputs(spark, FOLDER)
+    for df in (d277.complete_rows(d277.parse(t.raw_d277)), d277.parse(t.raw_d277).where("date IS NOT NULL AND settlement_run = 'SF'")):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        filters = [line for line in text.splitlines() if "Filter" in line]
+        assert filters and not any("zpd" in line or "pool" in line for line in filters)
+    # Conditions on other columns still reach the scan.
+    assert any("hdr" in line and "SF" in line for line in filters)
+
+
+def test_loss_classes_are_summed_before_they_grow(spark):
+    """Two classes and distributors of one profile make the half hours of one."""
+    t = Inputs(spark, FOLDER)
+    grown = inputs.d277_half_hours(t)
+    assert grown.count() == grown.select(*d277.BAND_KEYS[:-2], "settlement_period").distinct().count()
+    sums = measures.profile_volumes(
+        spark.createDataFrame([(1000.0, 200.0, 500.0, 50.0, 0.5, 0.9)], "f double, f_lost double, j double, j_lost double, pc double, factor double"),
+        {"estimate": ["f", "j"]},
+    ).first()
+    assert sums.estimate_gwh == pytest.approx(0.75) and sums.corrected_estimate_loss_gwh == pytest.approx(0.1125)
