@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from settle.functions.flags import all_present, in_ranges, lookup, peak, run_rank
-from settle.functions.text import compact_date, integer, made_once, number, period, try_compact_date
+from settle.functions.text import compact_date, integer, made_once, number, period, strict, try_compact_date
 from settle.operators import factors, measures, runs
 from settle.session import bounded
 from settle.sources.codes import (
@@ -31,8 +31,10 @@ READABLE = {"zpd": try_compact_date, "pool": try_compact_date, "spx": integer}
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    parsed = raw.select(
-        compact_date("zpd").alias("date"),
+    # Read once, and strict only where the date is used.
+    read = made_once(raw.withColumn("_zpd", try_compact_date("zpd")), "_zpd")
+    return read.select(
+        strict("zpd", F.col("_zpd"), "date", "no known form of date").alias("date"),
         compact_date("pool").alias("file_date"),
         F.col("hdr").alias("settlement_run"),
         F.col("gsp").alias("gsp_area"),
@@ -41,7 +43,6 @@ def parse(raw: DataFrame) -> DataFrame:
         *[number(c).alias(c) for c in "ahmc"],
         F.col("ai").alias("meters_count"),
     )
-    return made_once(parsed, "date")
 
 
 def is_import() -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from settle.functions.calendar import add_day_type
 from settle.functions.flags import all_present, lookup, peak, run_rank
-from settle.functions.text import compact_date, integer, made_once, number, try_compact_date
+from settle.functions.text import compact_date, integer, made_once, number, strict, try_compact_date
 from settle.operators import factors, measures, ranges, runs
 from settle.session import bounded
 from settle.sources.codes import PROFILE_SECTOR
@@ -47,8 +47,10 @@ READABLE = {"zpd": try_compact_date, "pool": try_compact_date}
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    parsed = raw.select(
-        compact_date("zpd").alias("date"),
+    # Read once, and strict only where the date is used.
+    read = made_once(raw.withColumn("_zpd", try_compact_date("zpd")), "_zpd")
+    return read.select(
+        strict("zpd", F.col("_zpd"), "date", "no known form of date").alias("date"),
         compact_date("pool").alias("file_date"),
         F.col("hdr").alias("settlement_run"),
         F.col("gsp").alias("gsp_area"),
@@ -59,7 +61,6 @@ def parse(raw: DataFrame) -> DataFrame:
         integer("e").alias("regime"),
         *[number(c).alias(c) for c in MEASURES],
     )
-    return made_once(parsed, "date")
 
 
 def add_sector(df: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def test_conditions_do_not_repeat_the_reading_of_dates(spark):
     for df in (d277.complete_rows(d277.parse(t.raw_d277)), d277.parse(t.raw_d277).where("date IS NOT NULL AND settlement_run = 'SF'")):
         text = df._jdf.queryExecution().optimizedPlan().toString()
         filters = [line for line in text.splitlines() if "Filter" in line]
-        assert filters and not any("zpd" in line or "pool" in line for line in filters)
+        assert filters and not any("gettimestamp" in line or "concat_ws" in line for line in filters)
     # Conditions on other columns still reach the scan.
     assert any("hdr" in line and "SF" in line for line in filters)
 
@@ -68,3 +68,12 @@ def test_loss_classes_are_summed_before_they_grow(spark):
         {"estimate": ["f", "j"]},
     ).first()
     assert sums.estimate_gwh == pytest.approx(0.75) and sums.corrected_estimate_loss_gwh == pytest.approx(0.1125)
+
+
+def test_an_unreadable_date_fails_only_where_it_is_used(spark):
+    fields = ["zpd", "pool", "hdr", "gsp", *"abcdefghijklm"]
+    raw = spark.createDataFrame([("abc", "20200401_P", "SF", "_A", *["1"] * 13)], ", ".join(f"{c} string" for c in fields))
+    rows = d277.parse(raw)
+    assert rows.groupBy("profile_class").count().count() == 1
+    with pytest.raises(Exception, match="no known form of date"):
+        rows.select("date").collect()
