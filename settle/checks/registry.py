@@ -27,6 +27,8 @@ STEPS: dict[str, str] = dict(VIEWS)
 # six places, moved a little first so that exact halves round alike in both.
 NUDGE = 1.23456789e-9
 
+# Bytes of a block of a saved view: what a task reads later.
+BLOCK_BYTES = 8 << 20
 
 # Saved views by session, folder, rows of its tables and view: path and schema.
 _LANDED: dict[tuple, tuple[str, StructType]] = {}
@@ -67,7 +69,7 @@ class Inputs:
         key = (*self._state, name)
         if key not in _LANDED:
             made, path = self._plan(name), fresh_path(self.spark, name)
-            self._spread(name, made).write.parquet(path)
+            self._spread(name, made).write.option("parquet.block.size", BLOCK_BYTES).parquet(path)
             _LANDED[key] = path, made.schema
         path, schema = _LANDED[key]
         return self.spark.read.schema(schema).parquet(path)

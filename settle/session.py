@@ -23,6 +23,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even if the rows have to move once more afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stored reports are packed tightly and grow many times when parsed, so tasks read
+    # little, and shuffles begin with many parts, put together up to the advisory size.
+    "spark.sql.files.maxPartitionBytes": "8m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
 }
 
 
