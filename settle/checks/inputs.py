@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from settle.functions.flags import all_present
 from settle.operators.runs import last_version
 from settle.plans import c042, d276, d277, gross, levies, s014, units
 from settle.session import fresh_path, stage
@@ -47,8 +48,12 @@ def d277_hh(t) -> DataFrame:
 
 
 def d277_half_hours(t) -> DataFrame:
-    rows = d277.complete_rows(d277.add_sector(d277.parse(t.raw_d277)))
-    return d277.half_hours(d277.annual_sums(rows), t.tlm_rows, t.raw_gcf, t.raw_pc, t.raw_llf, holidays(t))
+    rows = d277.add_sector(d277.parse(t.raw_d277))
+    sums = d277.annual_sums(d277.complete_rows(rows))
+    # A date is read only of rows that have the other fields, as in the sums.
+    others = [c for c in rows.columns if c not in ("date", "file_date")]
+    used = d277.classes_in_use(rows.where(all_present(*others)))
+    return d277.half_hours(sums, t.tlm_rows, t.raw_gcf, t.raw_pc, t.raw_llf, holidays(t), used)
 
 
 def big_demand(t) -> DataFrame:

@@ -80,7 +80,8 @@ def join_profile_coef(t):
 def join_llf_range(t):
     rows = d277.parse(t.raw_d277)
     typed = calendar.add_day_type(rows, inputs.holidays(t), "date", "day_type")
-    bands = bounded(factors.loss_bands(t.raw_llf, ranges.bounds(rows, "date")))
+    bands = factors.loss_bands(t.raw_llf, ranges.bounds(rows, "date"))
+    bands = bounded(factors.bands_in_use(bands, d277.classes_in_use(rows)))
     keys = ["date", "distributor", "loss_class", "day_type", "first_period", "last_period", "llf"]
     return factors.join_loss_bands(typed, bands).groupBy(*keys).agg(F.count("*").alias("n"))
 

@@ -9,6 +9,7 @@ from settle.functions.flags import run_rank
 from settle.functions.text import integer
 from settle.operators.ranges import limit_columns
 from settle.schemas import PERIOD_COLUMNS
+from settle.session import bounded
 
 PERIODS = len(PERIOD_COLUMNS)
 
@@ -110,6 +111,11 @@ def loss_bands(llf: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
+def bands_in_use(bands: DataFrame, used: DataFrame) -> DataFrame:
+    """Loss bands of the classes and months in use; no others find a row to join."""
+    return bands.join(bounded(used), ["distributor", "loss_class", "month"], "left_semi")
+
+
 def join_loss_bands(df: DataFrame, bands: DataFrame) -> DataFrame:
     """Loss bands valid on a row's date and day type; one row for each band."""
     valid = F.col("date").between(F.col("start_settlement_date"), F.col("end_settlement_date"))

@@ -68,8 +68,13 @@ def add_sector(df: DataFrame) -> DataFrame:
 
 
 def complete_rows(df: DataFrame) -> DataFrame:
-    """Rows with every field present, each once."""
-    return made_once(df, "file_date").where(all_present(*df.columns)).dropDuplicates()
+    """Rows with every field present, each once.
+
+    Dealt once by the keys of the later sums, which then move nothing. Hardly any
+    row has a copy in its own part of the report, so none are sought before that.
+    """
+    known = made_once(df, "file_date").where(all_present(*df.columns))
+    return known.repartition(*DAY_KEYS).dropDuplicates()
 
 
 def annual_sums(rows: DataFrame) -> DataFrame:
@@ -80,9 +85,15 @@ def annual_sums(rows: DataFrame) -> DataFrame:
     """
     sums = rows.groupBy(*REPORT_KEYS).agg(*measures.sums(*"fghijk"))
     # Half-hourly sums are then made where the half hours are, without a shuffle.
+    # Complete rows lie so already.
     return sums.repartition(*DAY_KEYS)
 
 
+def classes_in_use(rows: DataFrame) -> DataFrame:
+    """Loss classes and months of report rows; a short list, whatever the number of rows."""
+    return rows.select("distributor", "loss_class", F.trunc("date", "MM").alias("month")).distinct()
+
+
 def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame) -> DataFrame:
     """Profile shares and correction factors of a day."""
     days = factors.day_factors(tlm, gcf)
@@ -101,11 +112,18 @@ def band_sums(rows: DataFrame, bands: DataFrame) -> DataFrame:
     return joined.groupBy(*BAND_KEYS).agg(*measures.sums(*"fghijk"), *lost)
 
 
-def half_hours(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
-    """Complete rows spread over the periods that have all factors."""
+def half_hours(rows, tlm, gcf, pc, llf, calendar, used: DataFrame | None = None) -> DataFrame:
+    """Complete rows spread over the periods that have all factors.
+
+    `used` may give the classes in use: the list of loss factors has every class
+    on every date, many times what a report refers to.
+    """
     # Factors are unique by date and area, so a coefficient row stays one row.
     shares = bounded(day_shares(tlm, gcf, pc), within=pc)
-    bands = bounded(factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date")))
+    bands = factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date"))
+    if used is not None:
+        bands = factors.bands_in_use(bands, used)
+    bands = bounded(bands)
     sums = band_sums(add_day_type(rows, calendar, "date", "day_type"), bands)
     joined = sums.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
     # Moves nothing where both sides were sent around: the rows still lie as `annual_sums` left them.
@@ -177,7 +195,7 @@ def in_area_shape(df: DataFrame) -> DataFrame:
 def demand(rows, tlm, gcf, pc, llf, calendar) -> DataFrame:
     """Profiled demand in GWh of parsed report rows."""
     annual = annual_sums(complete_rows(add_sector(rows)))
-    spread = half_hours(annual, tlm, gcf, pc, llf, calendar)
+    spread = half_hours(annual, tlm, gcf, pc, llf, calendar, classes_in_use(rows))
     return in_area_shape(split_quality(profile_totals(spread)))
 
 

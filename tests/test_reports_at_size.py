@@ -5,7 +5,7 @@ import pytest
 from settle.checks import inputs
 from settle.checks.all_queries import QUERIES
 from settle.checks.registry import REPORTS, Inputs
-from settle.operators import measures
+from settle.operators import factors, measures
 from settle.plans import d277
 
 FOLDER = "/root/testdata/sf0.001"
@@ -77,3 +77,28 @@ def test_an_unreadable_date_fails_only_where_it_is_used(spark):
     assert rows.groupBy("profile_class").count().count() == 1
     with pytest.raises(Exception, match="no known form of date"):
         rows.select("date").collect()
+
+
+def test_profiled_rows_are_moved_once(spark):
+    """Copies, annual figures and half hours are all put together where the rows were dealt to."""
+    t = Inputs(spark, FOLDER)
+    for df in (inputs.d277_all(t), inputs.d277_hh(t), inputs.d277_half_hours(t)):
+        text = plan(df)
+        moved = [line for line in text.splitlines() if "Exchange hashpartitioning(date" in line and "profile_class" in line]
+        assert len(moved) == 1 and "REPARTITION_BY_COL" in moved[0]
+
+
+def test_only_loss_factors_of_classes_in_use_are_joined(spark):
+    """Each class on every date is listed; a report refers to few of them."""
+    rows = spark.sql("SELECT 'D' AS distributor, '1' AS loss_class, DATE '2020-04-05' AS date UNION ALL SELECT 'D', NULL, NULL")
+    llf = spark.sql(
+        "SELECT 'D' AS market_participant_id, CAST(id AS STRING) AS llf_class_id, DATE '2020-03-01' AS start_settlement_date,"
+        " DATE '2020-12-31' AS end_settlement_date, 'WD' AS day_type, 1 AS start_settlement_period,"
+        " 48 AS end_settlement_period, 1.1e0 AS value FROM range(1000)"
+    )
+    limits = spark.sql("SELECT DATE '2020-03-01' AS min_date, DATE '2020-12-31' AS max_date")
+    used = d277.classes_in_use(rows)
+    bands = factors.loss_bands(llf, limits)
+    assert bands.count() == 10_000
+    kept = factors.bands_in_use(bands, used).collect()
+    assert [(r.loss_class, str(r.month)) for r in kept] == [("1", "2020-04-01")]
