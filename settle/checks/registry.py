@@ -30,6 +30,9 @@ NUDGE = 1.23456789e-9
 # Bytes of a block of a saved view: what a task reads later.
 BLOCK_BYTES = 8 << 20
 
+# Rows of a table up to which reports over its few blocks are spread by a shuffle.
+SPREAD_ROWS = 1 << 20
+
 # Saved views by session, folder, rows of its tables and view: path and schema.
 _LANDED: dict[tuple, tuple[str, StructType]] = {}
 
@@ -40,7 +43,8 @@ class Inputs:
     Flows start from stored report and factor tables, so each view is saved once
     as a parquet table in the work folder; a given table may be a single file
     block, and its rows are spread evenly there. Reports over a table of many
-    blocks stay as they are dealt: spreading them would sort and move every row.
+    blocks or rows stay as they are dealt: spreading them would sort and move
+    every row. They too are stored in small blocks, which later tasks share.
     Without `landed` the views are plans over the given tables.
     """
 
@@ -75,15 +79,19 @@ class Inputs:
         return self.spark.read.schema(schema).parquet(path)
 
     def _spread(self, name: str, made: DataFrame) -> DataFrame:
-        """Rows dealt evenly to all cores, unless the blocks of the readings' table do that."""
+        """Rows dealt evenly to all cores; not those of reports that many blocks deal so, or that are too many."""
         cores = self.spark.sparkContext.defaultParallelism
-        if name in REPORTS and 2 * self._blocks("lineitem") >= cores:
-            return made
+        if name in REPORTS:
+            blocks, rows = self._blocks("lineitem")
+            if 2 * blocks >= cores or rows > SPREAD_ROWS:
+                return made
         return made.repartition(cores)
 
-    def _blocks(self, name: str) -> int:
-        """Parts of a table's files that hold rows; a task of a scan reads one or more."""
-        return self.table(name).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+    def _blocks(self, name: str) -> tuple[int, int]:
+        """Parts of a table's files that hold rows, of which a task of a scan reads one or more; all rows."""
+        parts = self.table(name).select("_metadata.file_path", "_metadata.file_block_start")
+        sizes = parts.groupBy(*parts.columns).agg(F.count("*").alias("n"))
+        return tuple(sizes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first())
 
     def _plan(self, name: str) -> DataFrame:
         for table in TABLES:

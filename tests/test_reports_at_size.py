@@ -41,6 +41,24 @@ def test_reports_of_many_blocks_are_stored_as_they_are_dealt(spark, many_blocks)
     assert stored[0] == stored[1]
 
 
+def test_reports_of_few_large_blocks_are_stored_without_a_shuffle(spark, tmp_path):
+    """A block that is read by one task can hold any number of rows."""
+    rows = spark.sql(
+        "SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 5 AS l_suppkey, CAST(id % 7 + 1 AS INT) AS l_linenumber,"
+        " 2e0 AS l_quantity, 3e0 AS l_extendedprice, 0e0 AS l_discount, 0e0 AS l_tax, 'R' AS l_returnflag,"
+        " IF(id % 10 = 0, 'F', 'O') AS l_linestatus, DATE '1995-01-01' AS l_shipdate FROM range(0, 1100000, 1, 1)"
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("orders", "supplier", "nation"):
+        spark.read.parquet(f"{FOLDER}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    t = Inputs(spark, str(tmp_path))
+    for name in REPORTS:
+        assert "Exchange" not in plan(t._spread(name, t._plan(name)))
+    found = {r.profile_class: (r.sector, r.n) for r in QUERIES["join_sector"](spark, str(tmp_path)).collect()}
+    assert set(found) == set(range(1, 8)) and sum(n for _, n in found.values()) == 1_210_000
+    assert {c for c, (sector, _) in found.items() if sector == "Domestic"} == {1, 2}
+
+
 def test_profile_rows_are_counted_before_they_grow(spark):
     text = plan(QUERIES["join_profile_coef"](spark, FOLDER))
     grown = text.index("Generate posexplode")
