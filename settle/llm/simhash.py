@@ -108,7 +108,11 @@ def grid_points(fingerprint: Column) -> Column:
 
 
 def links(fingerprints: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of the distinct values of `fp` that differ in one or two bits."""
+    """Pairs (a, b), a < b, of the distinct values of `fp` that differ in one or two bits.
+
+    Spark sizes the listing as if each value were still one row, and would send up to
+    33 times the bytes it expects through the driver; so both sides are shuffled.
+    """
     listed = fingerprints.select("fp", F.explode(grid_points(F.col("fp"))).alias("point"))
     one, other = listed.alias("one"), listed.alias("other")
     near = (
@@ -116,7 +120,7 @@ def links(fingerprints: DataFrame) -> DataFrame:
         & (F.col("one.fp") < F.col("other.fp"))
         & (F.bit_count(F.col("one.fp").bitwiseXOR(F.col("other.fp"))) <= RADIUS)
     )
-    return one.join(other, near).select(F.col("one.fp").alias("a"), F.col("other.fp").alias("b")).distinct()
+    return one.join(other.hint("merge"), near).select(F.col("one.fp").alias("a"), F.col("other.fp").alias("b")).distinct()
 
 
 def components(fingerprints: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from settle.llm import bpe, nearest
+from settle.llm import bpe, nearest, simhash
 from settle.llm.common import store
 from settle.llm.queries import multilingual, token_digests
 
@@ -65,3 +65,13 @@ def test_queries_go_to_cells_within_reach(corpus, monkeypatch):
     want = {(20 * i, int(j)) for i, row in enumerate(score) for j in np.argsort(-row)[:20]}
     assert len(want & set(zip(got.query_id, got.id, strict=True))) / len(want) >= 0.9
     assert got.groupby("query_id").size().eq(20).all()
+
+
+def test_listed_fingerprints_are_not_sent_through_the_driver(corpus):
+    """Each is listed 33 times, which Spark does not count: a small table is no small side."""
+    rows = store(corpus.range(2000).select((F.col("id") * 8).alias("fp")), "few_fingerprints")
+    links = simhash.links(rows)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    want = {(8 * a, 8 * b) for a in range(2000) for b in {a ^ (1 << i) ^ (1 << j) for i in range(11) for j in range(11)} | {a ^ (1 << i) for i in range(11)} if a < b < 2000}
+    assert set(map(tuple, links.collect())) == want
