@@ -50,8 +50,10 @@ def by_period(value: str) -> Column:
 
 def day_factors(tlm: DataFrame, gcf: DataFrame) -> DataFrame:
     """Loss multiplier times grid correction, an array by date and area."""
+    # Both lie by these keys already. Their files are far smaller than their rows, so
+    # Spark is not left to choose one for broadcast; the same holds of `day_shares`.
     both = loss_multipliers(tlm).join(
-        grid_factors(gcf), ["settlement_date", "gsp_area", "settlement_period"]
+        grid_factors(gcf).hint("merge"), ["settlement_date", "gsp_area", "settlement_period"]
     )
     return (
         both.withColumn("factor", F.col("gcf") * F.col("off_taking"))

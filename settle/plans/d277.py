@@ -14,7 +14,7 @@ from settle.functions.calendar import add_day_type
 from settle.functions.flags import all_present, lookup, peak, run_rank
 from settle.functions.text import compact_date, integer, made_once, number, strict, try_compact_date
 from settle.operators import factors, measures, ranges, runs
-from settle.session import bounded
+from settle.session import bounded, offered
 from settle.sources.codes import PROFILE_SECTOR
 
 MEASURES = list("fghijklm")
@@ -28,10 +28,13 @@ TOTAL_KEYS = [
     "date", "file_date", "settlement_run", "settlement_period", "gsp_area", "profile_class",
 ]
 
-# Rows of these keys are brought together before they grow into half hours. Their
-# number is bounded by configurations, regimes, loss classes and distributors.
 DAY_KEYS = [key for key in TOTAL_KEYS if key != "settlement_period"]
 
+# Rows of these keys are brought together before they grow into half hours. Their
+# number is bounded by runs, files, configurations, regimes, loss classes and
+# distributors. They are keys of the profile shares too, which are moved to the rows.
+PLACE_KEYS = ["date", "gsp_area", "profile_class"]
+
 # Peak follows from the period and sector from the class, so they are no keys.
 KEYS = TOTAL_KEYS + ["peak", "sector"]
 
@@ -74,7 +77,7 @@ def complete_rows(df: DataFrame) -> DataFrame:
     row has a copy in its own part of the report, so none are sought before that.
     """
     known = made_once(df, "file_date").where(all_present(*df.columns))
-    return known.repartition(*DAY_KEYS).dropDuplicates()
+    return known.repartition(*PLACE_KEYS).dropDuplicates()
 
 
 def annual_sums(rows: DataFrame) -> DataFrame:
@@ -86,7 +89,7 @@ def annual_sums(rows: DataFrame) -> DataFrame:
     sums = rows.groupBy(*REPORT_KEYS).agg(*measures.sums(*"fghijk"))
     # Half-hourly sums are then made where the half hours are, without a shuffle.
     # Complete rows lie so already.
-    return sums.repartition(*DAY_KEYS)
+    return sums.repartition(*PLACE_KEYS)
 
 
 def classes_in_use(rows: DataFrame) -> DataFrame:
@@ -97,7 +100,7 @@ def classes_in_use(rows: DataFrame) -> DataFrame:
 def day_shares(tlm: DataFrame, gcf: DataFrame, pc: DataFrame) -> DataFrame:
     """Profile shares and correction factors of a day."""
     days = factors.day_factors(tlm, gcf)
-    return factors.period_shares(factors.day_profiles(pc).join(days, ["date", "gsp_area"]))
+    return factors.period_shares(factors.day_profiles(pc).join(days.hint("merge"), ["date", "gsp_area"]))
 
 
 def band_sums(rows: DataFrame, bands: DataFrame) -> DataFrame:
@@ -109,7 +112,8 @@ def band_sums(rows: DataFrame, bands: DataFrame) -> DataFrame:
     """
     joined = factors.join_loss_bands(rows, bands).where(F.col("llf").isNotNull())
     lost = [F.sum(F.col(c) * (F.col("llf") - 1)).alias(f"{c}_lost") for c in measures.LOSSY]
-    return joined.groupBy(*BAND_KEYS).agg(*measures.sums(*"fghijk"), *lost)
+    # Moves nothing where the bands were sent around: the rows still lie as `annual_sums` left them.
+    return joined.repartition(*PLACE_KEYS).groupBy(*BAND_KEYS).agg(*measures.sums(*"fghijk"), *lost)
 
 
 def half_hours(rows, tlm, gcf, pc, llf, calendar, used: DataFrame | None = None) -> DataFrame:
@@ -119,15 +123,15 @@ def half_hours(rows, tlm, gcf, pc, llf, calendar, used: DataFrame | None = None)
     on every date, many times what a report refers to.
     """
     # Factors are unique by date and area, so a coefficient row stays one row.
-    shares = bounded(day_shares(tlm, gcf, pc), within=pc)
+    shares = offered(day_shares(tlm, gcf, pc), pc, factors.PERIODS)
     bands = factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date"))
     if used is not None:
         bands = factors.bands_in_use(bands, used)
     bands = bounded(bands)
     sums = band_sums(add_day_type(rows, calendar, "date", "day_type"), bands)
+    # Wide as they are now, rows are not moved again: the sums by half hour find them in place.
     joined = sums.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
-    # Moves nothing where both sides were sent around: the rows still lie as `annual_sums` left them.
-    return factors.expand_periods(joined.repartition(*DAY_KEYS))
+    return factors.expand_periods(joined)
 
 
 def profile_totals(df: DataFrame) -> DataFrame:

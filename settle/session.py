@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 # What all sides that a flow sends whole to every executor may have together. A
 # flow has SIDES of them at most, and each may have its part. A session may set
@@ -23,6 +24,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even if the rows have to move once more afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A side that lies by some of the join keys stays where it is; only the other side moves.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Stored reports are packed tightly and grow many times when parsed, so tasks read
     # little, and shuffles begin with many parts, put together up to the advisory size.
     "spark.sql.files.maxPartitionBytes": "8m",
@@ -105,6 +108,36 @@ def file_bytes(df: DataFrame) -> int | None:
     return int(str(node.stats().sizeInBytes())) * EXPANSION
 
 
+def _limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("settle.broadcastBytes", str(BROADCAST_BYTES))) // SIDES
+
+
+def _width(kind: DataType, places: int) -> int:
+    """Bytes of a value in a row in memory, without those of its text; an array has so many places."""
+    if isinstance(kind, StructType):
+        return 16 + sum(_width(field.dataType, places) for field in kind)
+    if isinstance(kind, ArrayType):
+        return 24 + places * _width(kind.elementType, places)
+    return 8
+
+
+def offered(df: DataFrame, within: DataFrame, places: int = 1) -> DataFrame:
+    """Offer a join side for broadcast by what its rows take in memory; shuffle it if that is more.
+
+    For sides that have at most the rows and texts of a stored table, whose files
+    may be a hundred times smaller than its rows: few values that repeat take next to
+    nothing there. Spark goes by the files and would broadcast such a side on its own,
+    so a larger one says that it is to be shuffled. Rows are counted only of files that
+    are small themselves.
+    """
+    limit, stored = _limit(df.sparkSession), file_bytes(within)
+    if stored is not None and stored > limit:
+        return df.hint("merge")
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in within.schema if isinstance(f.dataType, StringType)]
+    rows, text = within.agg(F.count("*"), F.sum(sum(texts, F.lit(0).cast("bigint")))).first()
+    return F.broadcast(df) if rows * _width(df.schema, places) + (text or 0) <= limit else df.hint("merge")
+
+
 def bounded(df: DataFrame, within: DataFrame | None = None) -> DataFrame:
     """Offer a join side for broadcast if its measured size is small.
 
@@ -113,12 +146,15 @@ def bounded(df: DataFrame, within: DataFrame | None = None) -> DataFrame:
     side stays a plan: the table's files are measured, without a job, or its rows
     where it is no plain scan. A larger side is returned
     without a hint: the join then shuffles both sides and adaptive execution
-    splits hot keys.
+    splits hot keys. A side that was measured itself says so by a hint, as Spark may
+    still take it for small (after an explode it counts the rows of before).
     """
-    limit = int(df.sparkSession.conf.get("settle.broadcastBytes", str(BROADCAST_BYTES))) // SIDES
+    limit = _limit(df.sparkSession)
     if within is None:
         side = once(df)
         size = size_of(side)
+        if size > limit:
+            return side.hint("merge")
     else:
         side, stored = df, file_bytes(within)
         size = size_of(within) if stored is None else stored

@@ -8,8 +8,8 @@ from settle.checks.compare import spark_rows
 from settle.checks.registry import Inputs
 from settle.functions.flags import run_rank
 from settle.operators import runs
-from settle.plans import c042, d276, s014
-from settle.session import SIDES, bounded, size_of
+from settle.plans import c042, d276, d277, s014
+from settle.session import SIDES, bounded, offered, size_of
 from settle.sources.tables import scan_table, sink_table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -140,3 +140,48 @@ def test_daily_sums_equal_half_hours(spark):
     days = inputs.d276_hh(t).transform(lambda df: df.groupBy("date").agg(F.sum("total_corrected_consumption_gwh").alias("x")))
     whole = hh.agg(F.sum("total_corrected_consumption_gwh")).first()[0]
     assert days.agg(F.sum("x")).first()[0] == pytest.approx(whole)
+
+
+def test_sides_that_are_small_only_in_their_files_are_shuffled(spark, tmp_path):
+    """A table of repeated values takes next to nothing on disk; what counts is its rows in memory."""
+    spark.range(1_500_000).selectExpr("CAST(id % 700 AS INT) AS id", "'_A' AS gsp_area", "0.5e0 AS gcf").write.parquet(f"{tmp_path}/many")
+    spark.range(5_000).selectExpr("CAST(id % 700 AS INT) AS id", "'_A' AS gsp_area", "0.5e0 AS gcf").write.parquet(f"{tmp_path}/few")
+    rows = spark.range(100)
+    many, few = spark.read.parquet(f"{tmp_path}/many"), spark.read.parquet(f"{tmp_path}/few")
+    assert "SortMergeJoin" in plan(rows.join(offered(many, many), "id"))
+    assert "BroadcastHashJoin" in plan(rows.join(offered(few, few), "id"))
+    # Few rows of large arrays are as much.
+    assert "SortMergeJoin" in plan(rows.join(offered(few.withColumn("a", F.array_repeat("gcf", 10_000)), few, 10_000), "id"))
+    assert offered(few, few).join(rows, "id").count() == few.join(rows, "id").count()
+
+
+def test_a_measured_side_is_not_broadcast_after_an_explode(spark):
+    """Spark takes the rows of before the explode; the side was found to be larger than its part of the limit."""
+    side = spark.range(10).withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(1000))))
+    spark.conf.set("settle.broadcastBytes", "8000")
+    try:
+        text = plan(spark.range(100).join(bounded(side), "id"))
+    finally:
+        spark.conf.unset("settle.broadcastBytes")
+    assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+
+
+def test_profile_shares_and_their_factors_are_not_sent_by_the_size_of_their_files(spark):
+    t = Inputs(spark, FOLDER)
+    assert "Broadcast" not in plan(d277.day_shares(t.tlm_rows, t.raw_gcf, t.raw_pc))
+
+
+def test_shuffled_profile_shares_meet_the_rows_where_they_lie(spark):
+    """Rows grown by the shares of a day are wide; neither they nor the half hours are moved."""
+    t = Inputs(spark, FOLDER)
+    want = sorted(map(repr, inputs.d277_all(t).selectExpr("date", "gsp_area", "settlement_period", "settlement_run", "round(meters_count, 3)").collect()))
+    spark.conf.set("settle.broadcastBytes", "8")
+    try:
+        rows = inputs.d277_half_hours(t)
+        text = plan(d277.profile_totals(rows))
+        got = sorted(map(repr, inputs.d277_all(t).selectExpr("date", "gsp_area", "settlement_period", "settlement_run", "round(meters_count, 3)").collect()))
+    finally:
+        spark.conf.unset("settle.broadcastBytes")
+    joined = text.index("SortMergeJoin [date")
+    assert "Exchange" not in text[:joined] and "profile_class" in text[joined:].splitlines()[0]
+    assert got == want
