@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from settle.functions.flags import all_present, in_ranges, lookup, peak, run_rank
 from settle.functions.text import compact_date, integer, made_once, number, period, strict, try_compact_date
 from settle.operators import factors, measures, runs
-from settle.session import bounded
+from settle.session import bounded, offered
 from settle.sources.codes import (
     EXPORT_CLASSES, IMPORT_CLASSES, IMPORT_RUNS, NON_EXPORT_CCC, NON_IMPORT_CCC,
 )
@@ -83,7 +83,7 @@ def demand_all_runs(raw: DataFrame, tlm: DataFrame) -> DataFrame:
     ranks = {"last_run_flag": run_rank("settlement_run")}
     flagged = runs.flag_last_run_of_totals(totals, runs.HALF_HOUR, ranks)
     known = flagged.where(all_present(*IMPORT_KEYS))
-    joined = factors.join_factor(known, factors.loss_multipliers(tlm))
+    joined = factors.join_factor(known, offered(factors.loss_multipliers(tlm), tlm))
     return measures.import_volumes(joined).select(
         *IMPORT_KEYS, "last_run_flag", *measures.VOLUMES, "meters_count"
     )
@@ -100,7 +100,7 @@ def exports(raw: DataFrame, tlm: DataFrame) -> DataFrame:
     best = bounded(runs.latest_rank(rows, runs.HALF_HOUR, rank))
     kept = runs.keep_last_run(rows, best, runs.HALF_HOUR, rank)
     totals = class_totals(kept, EXPORT_KEYS, EXPORT_CLASSES).where(all_present(*EXPORT_KEYS))
-    joined = factors.join_factor(totals, factors.loss_multipliers(tlm))
+    joined = factors.join_factor(totals, offered(factors.loss_multipliers(tlm), tlm))
     return measures.export_volumes(joined).select(
         *EXPORT_KEYS, *measures.VOLUMES, "total_tlm_corrected_consumption_gwh", "meters_count"
     )
