@@ -14,7 +14,7 @@ from settle.functions.calendar import add_day_type
 from settle.functions.flags import all_present, lookup, peak, run_rank
 from settle.functions.text import compact_date, integer, made_once, number, strict, try_compact_date
 from settle.operators import factors, measures, ranges, runs
-from settle.session import bounded, offered
+from settle.session import bounded, fits
 from settle.sources.codes import PROFILE_SECTOR
 
 MEASURES = list("fghijklm")
@@ -123,15 +123,20 @@ def half_hours(rows, tlm, gcf, pc, llf, calendar, used: DataFrame | None = None)
     on every date, many times what a report refers to.
     """
     # Factors are unique by date and area, so a coefficient row stays one row.
-    shares = offered(day_shares(tlm, gcf, pc), pc, factors.PERIODS)
+    shares = day_shares(tlm, gcf, pc)
+    small = fits(shares, pc, factors.PERIODS)
+    shares = F.broadcast(shares) if small else shares.hint("merge")
     bands = factors.loss_bands(llf, ranges.bounds(tlm, "settlement_date"))
     if used is not None:
         bands = factors.bands_in_use(bands, used)
     bands = bounded(bands)
     sums = band_sums(add_day_type(rows, calendar, "date", "day_type"), bands)
-    # Wide as they are now, rows are not moved again: the sums by half hour find them in place.
+    if not small:
+        # Rows lie by some of the join keys: they stay there, and only the shares move.
+        rows.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     joined = sums.join(shares, ["date", "gsp_area", "profile_class", "configuration", "regime"])
-    return factors.expand_periods(joined)
+    # Wide as they are now, rows are not moved again: this moves nothing where they stayed.
+    return factors.expand_periods(joined.repartition(*PLACE_KEYS))
 
 
 def profile_totals(df: DataFrame) -> DataFrame:

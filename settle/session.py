@@ -24,8 +24,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even if the rows have to move once more afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A side that lies by some of the join keys stays where it is; only the other side moves.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # `d277.half_hours` turns it off where its shares are shuffled.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # Stored reports are packed tightly and grow many times when parsed, so tasks read
     # little, and shuffles begin with many parts, put together up to the advisory size.
     "spark.sql.files.maxPartitionBytes": "8m",
@@ -122,20 +122,24 @@ def _width(kind: DataType, places: int) -> int:
 
 
 def offered(df: DataFrame, within: DataFrame, places: int = 1) -> DataFrame:
-    """Offer a join side for broadcast by what its rows take in memory; shuffle it if that is more.
+    """Offer a join side for broadcast if it `fits`; a larger one is shuffled."""
+    return F.broadcast(df) if fits(df, within, places) else df.hint("merge")
+
+
+def fits(df: DataFrame, within: DataFrame, places: int = 1) -> bool:
+    """Whether the rows of a join side take no more memory than its part of the limit.
 
     For sides that have at most the rows and texts of a stored table, whose files
     may be a hundred times smaller than its rows: few values that repeat take next to
-    nothing there. Spark goes by the files and would broadcast such a side on its own,
-    so a larger one says that it is to be shuffled. Rows are counted only of files that
-    are small themselves.
+    nothing there. Spark goes by the files and would broadcast such a side on its own.
+    Rows are counted only of files that are small themselves.
     """
     limit, stored = _limit(df.sparkSession), file_bytes(within)
     if stored is not None and stored > limit:
-        return df.hint("merge")
+        return False
     texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in within.schema if isinstance(f.dataType, StringType)]
     rows, text = within.agg(F.count("*"), F.sum(sum(texts, F.lit(0).cast("bigint")))).first()
-    return F.broadcast(df) if rows * _width(df.schema, places) + (text or 0) <= limit else df.hint("merge")
+    return rows * _width(df.schema, places) + (text or 0) <= limit
 
 
 def bounded(df: DataFrame, within: DataFrame | None = None) -> DataFrame:
